@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from geohealth.llm import packing, sharding
+from geohealth.llm import decontam, packing, secrets, sharding, simhash
 
 QUERIES = {
+    "op3_credential_linking": secrets.run,
+    "op4_simhash_multi_index": simhash.run,
     "op7_harmonic_packing": packing.run,
     "op8_hash_tree_sharding": sharding.run,
+    "op9_prefix_filter_decontamination": decontam.run,
+}
+ORACLES: dict[str, str] = {
+    "op9_prefix_filter_decontamination": decontam.SQL,
 }
-ORACLES: dict[str, str] = {}
