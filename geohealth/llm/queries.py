@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from geohealth.llm import decontam, packing, secrets, sharding, simhash
+from geohealth.llm import ann, decontam, packing, secrets, sharding, simhash
 
 QUERIES = {
+    "op1_adaptive_dimension_scan": ann.run,
     "op3_credential_linking": secrets.run,
     "op4_simhash_multi_index": simhash.run,
     "op7_harmonic_packing": packing.run,
