@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPECIAL = "<|endoftext|>"
-#: Segments whose ids one worker keeps at most.
+#: Words in a table of one worker at most; it has two.
 CACHE = 400_000
 _encoders: dict[str, Callable[[str], bytes]] = {}
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -19,14 +19,13 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 def encoder(path: str) -> Callable[[str], bytes]:
     """text -> its ids as little-endian unsigned 32-bit integers, as tokenizers gives them with add_special_tokens=False.
 
-    In this byte-level BPE a single space between two characters that are no white space begins a new word, whatever
-    stands before it. Where all white space of a text is single, the segments between spaces thus have ids of their own,
-    which are looked up in a bounded table; other texts go whole to the encoder.
+    In this byte-level BPE a single space or line end between two words begins a new piece, whatever stands before it.
+    Where all white space of a text is of that kind, a separator and its word thus have ids of their own, which are looked
+    up in two bounded tables (the older one is dropped when the newer one is full); other texts go whole to the encoder.
     """
     import json
-    import re
+    from array import array
 
-    import numpy as np
     import tiktoken
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer, pre_tokenizers
@@ -38,26 +37,41 @@ def encoder(path: str) -> Callable[[str], bytes]:
     plain = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     reference = Tokenizer.from_file(path)
     assert isinstance(reference.pre_tokenizer, pre_tokenizers.ByteLevel)
-    ids_of = lambda s: np.array(plain.encode_ordinary(s), dtype="<u4").tobytes()
-    twice = re.compile(r"\s\s|\s\Z|\A\s")
-    known: dict[str, bytes] = {}
+
+    def ids_of(part: str) -> bytes:
+        return array("I", plain.encode_ordinary(part)).tobytes()
+
+    class Words(dict):
+        """word -> ids of the word after its separator."""
+
+        def __init__(self, lead: str) -> None:
+            self.lead, self.old = lead, {}
+
+        def __missing__(self, word: str) -> bytes:
+            ids = self[word] = self.old.get(word) or ids_of(self.lead + word)
+            return ids
+
+        def trim(self) -> None:
+            if len(self) > CACHE:
+                self.old = dict(self)
+                self.clear()
+
+    spaced, first = Words(" "), Words("\n")
+    after_space, after_line = spaced.__getitem__, first.__getitem__
 
     def encode(text: str) -> bytes:
         if any(s in text for s in added):
-            return np.array(reference.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if twice.search(text):
+            return array("I", reference.encode(text, add_special_tokens=False).ids).tobytes()
+        lines = [line.split(" ") for line in text.split("\n")]
+        if any("" in words for words in lines) or len(text.split()) != sum(map(len, lines)):
             return ids_of(text)
-        words = text.split(" ")
-        words[1:] = [" " + w for w in words[1:]]
-        found = list(map(known.get, words))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = known.get(words[i]) or ids_of(words[i])
-                    known[words[i]] = found[i]
-            if len(known) > CACHE:
-                known.clear()
-        return b"".join(found)
+        out: list[bytes] = []
+        for i, words in enumerate(lines):
+            out.append(after_line(words[0]) if i else ids_of(words[0]))
+            out += map(after_space, words[1:])
+        spaced.trim()
+        first.trim()
+        return b"".join(out)
 
     return encode
 
