@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from geohealth.llm import ann, decontam, packing, secrets, sharding, simhash
+from geohealth.llm import ann, decontam, lm, packing, secrets, sharding, simhash
 
 QUERIES = {
     "op1_adaptive_dimension_scan": ann.run,
+    "op2_subword_lattice": lm.run,
     "op3_credential_linking": secrets.run,
     "op4_simhash_multi_index": simhash.run,
     "op7_harmonic_packing": packing.run,
