@@ -28,67 +28,62 @@ class Lattice:
         self.first, self.later, self.byte, self.stop = first, later, byte, stop
         self.first_tree, self.later_tree = _tree(first), _tree(later)
 
-    def arcs(self, text: str) -> Iterator[tuple[int, int, float, tuple[bool, str] | None]]:
-        """(from, to, log probability, piece) over the word with its mark, by start; None: a character as bytes."""
-        n = len(text)
-        for i in range(n):
-            tree, known = (self.later_tree, False) if i else (self.first_tree, False)
-            j = i + 1
-            while j <= n:
-                part = text[i:j]
-                p = tree.get(part, 1.0)
+    def spell(self, text: str, i: int) -> list[tuple[int, float, str]]:
+        """(to, log probability, piece) of all arcs from place i of a word with its mark; piece is empty for a character as bytes."""
+        get, n, j, out = (self.later_tree if i else self.first_tree).get, len(text), i + 1, []
+        while j <= n:
+            part = text[i:j]
+            p = get(part, 1.0)
+            if p is not None:
                 if p == 1.0:
                     break
-                if p is not None:
-                    yield i, j, p, (i > 0, part)
-                    known = known or j == i + 1
-                j += 1
-            if i and not known:
-                yield i, i + 1, sum(self.byte[b] for b in text[i].encode("utf-8", "replace")), None
+                out.append((j, p, part))
+            j += 1
+        if i and not (out and out[0][0] == i + 1):
+            out.append((i + 1, sum(self.byte[b] for b in text[i].encode("utf-8", "replace")), ""))
+        return out
 
     def forward(self, word: str) -> float:
         """ln of the sum over all segmentations of the word, its end included."""
         text = MARK + word
-        into: list[list[float]] = [[] for _ in range(len(text) + 1)]
-        into[0].append(0.0)
-        at, total = -1, 0.0
-        for i, j, p, _ in self.arcs(text):
-            if i != at:
-                at, total = i, _sum(into[i])
-                into[i] = []
-            into[j].append(total + p)
-        return _sum(into[-1]) + self.stop
-
-    def expect(self, word: str, counts: Counter) -> None:
-        """Add each piece's expected count in the word (forward and backward)."""
+        n = len(text)
+        alpha: list[float] = [-math.inf] * (n + 1)
+        alpha[0] = 0.0
+        exp, log1p = math.exp, math.log1p
+        for i in range(n):
+            here = alpha[i]
+            for j, p, _ in self.spell(text, i):
+                v, w = here + p, alpha[j]
+                alpha[j] = v if w == -math.inf else w + log1p(exp(v - w)) if w > v else v + log1p(exp(w - v))
+        return alpha[n] + self.stop
+
+    def expect(self, word: str, counts: tuple[dict[str, float], dict[str, float]]) -> None:
+        """Add the expected counts of pieces that begin the word, and of those that go on with it (forward and backward)."""
         text = MARK + word
-        arcs = list(self.arcs(text))
         n = len(text)
-        terms: list[list[float]] = [[] for _ in range(n + 1)]
-        alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
-        terms[0].append(0.0)
-        at = -1
-        for i, j, p, _ in arcs:
-            if i != at:
-                at, alpha[i] = i, _sum(terms[i])
-            terms[j].append(alpha[i] + p)
-        alpha[n] = _sum(terms[n])
-        back: list[list[float]] = [[] for _ in range(n + 1)]
-        back[n].append(0.0)
-        at = n
-        for i, j, p, _ in reversed(arcs):
-            if j > i and not beta[j] and back[j]:
-                beta[j] = _sum(back[j])
-                back[j] = []
-            back[i].append(beta[j] + p)
-        for i, j, p, piece in arcs:
-            if piece:
-                counts[piece] += math.exp(alpha[i] + p + beta[j] - alpha[n])
-            else:
-                weight = math.exp(alpha[i] + p + beta[j] - alpha[n])
-                for b in text[i].encode("utf-8", "replace"):
-                    counts[True, f"<0x{b:02X}>"] += weight
-        counts[True, ""] += 1.0
+        arcs = [self.spell(text, i) for i in range(n)]
+        alpha, beta = [-math.inf] * (n + 1), [-math.inf] * n + [0.0]
+        alpha[0] = 0.0
+        exp, log1p, inf = math.exp, math.log1p, -math.inf
+        for i in range(n):
+            here = alpha[i]
+            for j, p, _ in arcs[i]:
+                v, w = here + p, alpha[j]
+                alpha[j] = v if w == inf else w + log1p(exp(v - w)) if w > v else v + log1p(exp(w - v))
+        total = alpha[n]
+        for i in range(n - 1, -1, -1):
+            here, ahead, into = alpha[i] - total, inf, counts[i > 0]
+            for j, p, piece in arcs[i]:
+                v = p + beta[j]
+                ahead = v if ahead == inf else ahead + log1p(exp(v - ahead)) if ahead > v else v + log1p(exp(ahead - v))
+                weight = exp(here + v)
+                if piece:
+                    into[piece] = into.get(piece, 0.0) + weight
+                else:
+                    for b in text[i].encode("utf-8", "replace"):
+                        into[f"<0x{b:02X}>"] = into.get(f"<0x{b:02X}>", 0.0) + weight
+            beta[i] = ahead
+        counts[True][""] = counts[True].get("", 0.0) + 1.0
 
 
 def _tree(pieces: dict[str, float]) -> dict[str, float | None]:
@@ -97,13 +92,6 @@ def _tree(pieces: dict[str, float]) -> dict[str, float | None]:
     return out | pieces
 
 
-def _sum(terms: list[float]) -> float:
-    if len(terms) == 1:
-        return terms[0]
-    top = max(terms, default=-math.inf)
-    return top + math.log(sum(math.exp(t - top) for t in terms)) if top > -math.inf else top
-
-
 def vocabulary(path: str) -> dict[tuple[bool, str], float]:
     """(goes on with a word, piece) -> weight, from the scores of a sentencepiece model; its BPE scores are ranks, so 1 / rank."""
     import sentencepiece
@@ -191,12 +179,12 @@ def score(docs: DataFrame, vocabulary_path: str, modulus: int = 7, held_out: int
         shared = spark.sparkContext.broadcast(lattice(weights, counts))
 
         def expected(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            got: Counter = Counter()
+            got: tuple[dict[str, float], dict[str, float]] = ({}, {})
             for b in batches:
                 for w in b.column(0).to_pylist():
                     shared.value.expect(w, got)
-            keys = list(got)
-            yield pa.record_batch([pa.array([k[0] for k in keys], pa.bool_()), pa.array([k[1] for k in keys], pa.string()), pa.array([got[k] for k in keys], pa.float64())], names=["later", "piece", "n"])
+            for later, some in enumerate(got):
+                yield pa.record_batch([pa.array([bool(later)] * len(some), pa.bool_()), pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.float64())], names=["later", "piece", "n"])
 
         spread = words.where("c > 0").select("word").mapInArrow(expected, "later boolean, piece string, n double")
         counts = {(r[0], r[1]): r[2] for r in spread.groupBy("later", "piece").agg(F.sum("n")).collect()}  # pieces of the vocabulary
