@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geohealth.llm import ann, decontam, lm, packing, secrets, sharding, simhash
+from geohealth.llm import ann, decontam, langid, lm, packing, secrets, sharding, simhash
 
 QUERIES = {
     "op1_adaptive_dimension_scan": ann.run,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_harmonic_packing": packing.run,
     "op8_hash_tree_sharding": sharding.run,
     "op9_prefix_filter_decontamination": decontam.run,
+    "op10_output_codes": langid.run,
 }
 ORACLES: dict[str, str] = {
     "op9_prefix_filter_decontamination": decontam.SQL,
