@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,12 +12,13 @@ from pyspark.sql import functions as F
 
 from geohealth.llm.common import crc_bucket, labelled_sample
 
-WORD = re.compile(r"\w+")
+#: ASCII but digits and letters to spaces; bytes beyond ASCII belong to words.
+APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Words of a window and the step to the next; at most so many labelled rows are learned from.
-WINDOW, STEP, SAMPLE = 40, 30, 4000
+WINDOW, STEP, SAMPLE = 40, 34, 4000
 GRAMS, SLOTS, INPUTS, HIDDEN = (4, 6), 1 << 18, 5, 8
 #: Words that a task keeps the inputs of.
-KEPT = 250_000
+KEPT = 300_000
 
 
 def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,7 +160,7 @@ def laid_out(ids: np.ndarray, starts: list[int]) -> np.ndarray:
 
 
 def tokens(text: str | None) -> list[bytes]:
-    return [w.encode() for w in WORD.findall((text or "").lower())]
+    return (text or "").lower().encode("utf-8", "replace").translate(APART).split()
 
 
 def train(rows: list[tuple[str, int]], epochs: int = 8, seed: int = 3) -> Model:
@@ -230,12 +230,24 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, fl
 def score_windows(net: dict, proj: dict[str, np.ndarray], laid: np.ndarray) -> np.ndarray:
     """Logits of windows of word numbers; proj holds each word's part of the gates, the last row no word's."""
     out = []
-    for at in range(0, len(laid), 4096):
-        part = laid[at : at + 4096].T
+    for at in range(0, len(laid), 1024):
+        part = laid[at : at + 1024].T
         out.append(forward(net, {d: p[part] for d, p in proj.items()}, (part >= 0).astype("f4")[:, :, None]))
     return np.concatenate(out)
 
 
+class Numbers(dict):
+    """word -> its number, in the order of appearance."""
+
+    def __init__(self) -> None:
+        self.names: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.names)
+        self.names.append(word)
+        return n
+
+
 class Scorer:
     """A task's model with the words it has met."""
 
@@ -244,29 +256,25 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        width = 3 * HIDDEN
-        self.proj = {d: np.zeros((KEPT + 1, width), dtype="f4") for d in "fb"}
-        self.done = 0
+        self.number, self.done = Numbers(), 0
+        self.proj = {d: np.zeros((1, 3 * HIDDEN), dtype="f4") for d in "fb"}
 
     def _learn(self) -> None:
-        names = list(self.number)[self.done :]
-        if self.done + len(names) > len(self.proj["f"]) - 1:
-            more = self.done + len(names) + 1
-            self.proj = {d: np.concatenate([p[:-1], np.zeros((more - len(p) + 1, p.shape[1]), dtype="f4")]) for d, p in self.proj.items()}
-        for at in range(0, len(names), 20_000):
-            x = inputs([w.encode() for w in names[at : at + 20_000]], self.model.by_word, self.model.by_gram)
+        names, net = self.number.names, self.model.net
+        if len(names) >= len(self.proj["f"]):  # room for the words and a last row that stands for none
+            self.proj = {d: np.concatenate([p[: self.done], np.zeros((len(names) * 3 // 2 + 1 - self.done, p.shape[1]), dtype="f4")]) for d, p in self.proj.items()}
+        while self.done < len(names):
+            x = inputs(names[self.done : self.done + 20_000], self.model.by_word, self.model.by_gram)
             for d, p in self.proj.items():
-                p[self.done + at : self.done + at + len(x)] = x @ self.model.net[f"W{d}"] + self.model.net[f"c{d}"]
-        self.done += len(names)
+                p[self.done : self.done + len(x)] = x @ net[f"W{d}"] + net[f"c{d}"]
+            self.done += len(x)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         """Scores: the calibrated highest logit of a text's windows."""
-        if len(self.number) > KEPT // 2:
+        if len(self.number) > KEPT:
             self._forget()
-        ids, number = [], self.number
-        for t in texts:
-            ids.append(np.array([number.setdefault(w, len(number)) for w in WORD.findall((t or "").lower())], dtype=np.int64))
+        number = self.number.__getitem__
+        ids = [np.array(list(map(number, tokens(t))), dtype=np.int64) for t in texts]
         self._learn()
         starts = [windows(len(d)) for d in ids]
         laid = np.concatenate([laid_out(d, s) for d, s in zip(ids, starts)])
