@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from geohealth.llm import ann, decontam, langid, lm, packing, secrets, sharding, simhash
+from geohealth.llm import ann, decontam, langid, lm, packing, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_adaptive_dimension_scan": ann.run,
     "op2_subword_lattice": lm.run,
     "op3_credential_linking": secrets.run,
     "op4_simhash_multi_index": simhash.run,
+    "op5_recurrent_toxicity": toxicity.run,
+    "op6_line_field_quality": quality.run,
     "op7_harmonic_packing": packing.run,
     "op8_hash_tree_sharding": sharding.run,
     "op9_prefix_filter_decontamination": decontam.run,
