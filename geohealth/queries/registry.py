@@ -1,6 +1,24 @@
-"""All queries of the library proper with their SQL."""
+"""All queries of the library proper with their SQL. The modules that hold them register on import."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+from geohealth.queries import calendar, climate, health, imagery, incremental, text, zones  # noqa: E402, F401
