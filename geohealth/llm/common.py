@@ -31,6 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to clash with no column of df."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. lower() does just that unless a letter beyond ASCII has another lower case; then translate() does."""
     other = text.rlike(r"[^\x00-\x7F&&[\p{javaUpperCase}\p{Lt}]]")

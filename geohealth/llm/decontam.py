@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geohealth.llm.common import ascii_lower, materialize
+from geohealth.llm.common import ascii_lower, materialize, unused
 
 #: A word of lower-cased text, and of any text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -127,9 +127,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs (all columns) without the contaminated rows."""
     wins = materialize(item_windows(benchmark, 10), "windows")
-    hit = overlaps(docs, materialize(prefixes(wins, 5), "prefixes"), 10, 5).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
+    own, th = unused(docs, "_id"), unused(docs, "_th")
+    hit = overlaps(docs, materialize(prefixes(wins, 5), "prefixes"), 10, 5).select(F.col("doc_id").alias(own), F.col("th").alias(th)).distinct()
     hit = materialize(hit, "hit")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(th)), "left_anti")
 
 
 def run(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geohealth.llm.common import materialize
+from geohealth.llm.common import materialize, unused
 
 IDENTIFIER, SECRET, ENDPOINT = 1, 2, 4
 
@@ -131,7 +131,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     Overlapping spans are replaced together. Texts without spans, and null texts, stay as they are.
     """
     found = find_secrets(docs).select("doc_id", "th", F.array_sort(F.concat("strong", "linked")).alias("spans")).where(F.size("spans") > 0).distinct()
-    found = materialize(found, "found").withColumnsRenamed({"doc_id": "_id", "th": "_th", "spans": "_spans"})
+    own, th, spans = (unused(docs, n) for n in ("_id", "_th", "_spans"))
+    found = materialize(found, "found").withColumnsRenamed({"doc_id": own, "th": th, "spans": spans})
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -139,11 +140,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], between, F.lit(mark)).alias("out"))).otherwise(
             F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
 
-    cleaned = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cleaned)
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left").withColumn("text", text)
+    cleaned = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cleaned)
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(th)), "left").withColumn("text", text)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        joined = joined.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return joined.select(docs.columns)
 
 
