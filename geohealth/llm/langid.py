@@ -50,10 +50,10 @@ def codewords(classes: int, seed: int = 5) -> np.ndarray:
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Slots of all n-grams of the texts, the start of each text's run for reduceat, and how many each has.
 
-    Texts are joined with a space, which also begins and ends each of them, so every text has n-grams of its own.
+    Two spaces begin a text and one ends it, so that none of its n-grams reaches a letter of the next.
     """
-    data = np.frombuffer(b" " + b"  ".join(texts) + b"  ", dtype=np.uint8)
-    lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts)) + 2
+    data = np.frombuffer(b"  " + b"   ".join(texts) + b"   ", dtype=np.uint8)
+    lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts)) + 3
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint32)
     data[(data < 97) & (data != 32)] = 32  # digits, punctuation, line ends
