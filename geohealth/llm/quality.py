@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geohealth.llm.common import crc_bucket, labelled_sample
+from geohealth.llm.common import crc_bucket, labelled_sample, unused
 
 #: At most so many labelled rows are learned from; features of a line; share of the marginals above which a document is good.
 SAMPLE, FEATURES, THRESHOLD = 2000, 16, 0.7
@@ -48,7 +48,7 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
         again = np.concatenate([[False], (code[1:] == code[:-1]) & (line[1:] == line[:-1])])
         out[:, 9] = of(again) / per
         pair = _distinct(line, code)
-        out[:, 10] = 1 - np.bincount(pair, minlength=len(stops)) / per
+        out[:, 10] = (words > 0) * (1 - np.bincount(pair, minlength=len(stops)) / per)
         out[:, 11] = of(size <= 3) / per
         out[:, 12] = of((size == 1) & (kind[heads] == 3)) / per
         whole = of((code >> np.uint64(20)).astype("f8") % 1e9)
@@ -256,7 +256,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     field = train(labelled_sample(docs, labels, "quality", 4, 2, SAMPLE))
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    kept = "_score_of_text"
+    kept = unused(docs, "_score")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
