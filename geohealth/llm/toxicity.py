@@ -15,8 +15,8 @@ from geohealth.llm.common import crc_bucket, labelled_sample
 #: ASCII but digits and letters to spaces; bytes beyond ASCII belong to words.
 APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Words of a window and the step to the next; at most so many labelled rows are learned from.
-WINDOW, STEP, SAMPLE = 40, 34, 4000
-GRAMS, SLOTS, INPUTS, HIDDEN = (4, 6), 1 << 18, 5, 8
+WINDOW, STEP, SAMPLE = 40, 34, 2500
+GRAMS, SLOTS, INPUTS, HIDDEN, FOLDS = (4, 6), 1 << 18, 5, 8, 4
 #: Words that a task keeps the inputs of.
 KEPT = 300_000
 
@@ -163,13 +163,14 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(APART).split()
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 8, seed: int = 3) -> Model:
-    """Evidence from three fifths of the rows; the network from the others, on windows that the evidence points to."""
+def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
+    """The network learns from windows that the evidence points to. While it learns, a row's evidence is that of the other
+    folds, so that it is no surer of it than it can be of new rows; afterwards it is that of all rows."""
     rng = np.random.default_rng(seed)
     docs, labels = [tokens(t) for t, _ in rows], np.array([y for _, y in rows], dtype=np.int64)
     number: dict[bytes, int] = {}
     ids = [np.array([number.setdefault(w, len(number)) for w in d], dtype=np.int64) for d in docs]
-    first = rng.permutation(len(rows)) < 0.6 * len(rows)
+    fold = rng.permutation(len(rows)) % FOLDS
     words = list(number)
     if not words or len(set(labels.tolist())) < 2:
         flat = np.zeros(SLOTS, dtype="f4")
@@ -182,20 +183,29 @@ def train(rows: list[tuple[str, int]], epochs: int = 8, seed: int = 3) -> Model:
     order = order[:, order[1] > 0]
     order = order[:, np.argsort(order[0], kind="stable")]
     cut = np.searchsorted(order[0], np.arange(len(words) + 1))
-    gram_set = lambda d: np.unique(np.concatenate([order[1][cut[w] : cut[w + 1]] for w in np.unique(d)] or [np.zeros(0, np.int64)])).astype(np.int64)
-    some = np.flatnonzero(first)
-    by_word = evidence([np.unique(whole[ids[i]]) for i in some], labels[some])
-    by_gram = evidence([gram_set(ids[i]) for i in some], labels[some])
-    x = np.concatenate([inputs(words, by_word, by_gram), np.zeros((1, INPUTS), dtype="f4")])
+    gram_set = lambda d: np.unique(np.concatenate([order[1][cut[w] : cut[w + 1]] for w in np.unique(d)] or [np.zeros(0, np.int64)])).astype(np.int32)
+    seen = [np.unique(whole[d]).astype(np.int32) for d in ids], [gram_set(d) for d in ids]
+
+    def learned(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(evidence([s[i] for i in some], labels[some]) for s in seen)
+
+    # the numbers of a fold's words follow those of the folds before it
+    x = np.concatenate([*[inputs(words, *learned(np.flatnonzero(fold != f))) for f in range(FOLDS)], np.zeros((1, INPUTS), dtype="f4")])
     hint = x[:, :3].sum(axis=1)
     picks, ys = [], []
-    rest = np.flatnonzero(~first)
-    for i in rest:
-        laid = laid_out(ids[i], windows(len(ids[i])))
-        best = np.argsort(-hint[laid].max(axis=1), kind="stable")[: 1 if labels[i] else 2]
-        take = set(best.tolist()) | (set() if labels[i] else {int(rng.integers(len(laid)))})
+    laid_all = [laid_out(d + f * len(words), windows(len(d))) for d, f in zip(ids, fold)]
+    for laid, label in zip(laid_all, labels):
+        best = np.argsort(-hint[laid].max(axis=1), kind="stable")[: 1 if label else 2]
+        take = set(best.tolist()) | (set() if label else {int(rng.integers(len(laid)))})
         picks += [laid[k] for k in take]
-        ys += [labels[i]] * len(take)
+        ys += [label] * len(take)
+        # pieces of the text around its strongest word, which stands anywhere in them
+        for lo in rng.integers(0, WINDOW, 2):
+            piece = laid[best[0]]
+            at = int(hint[piece].argmax())
+            first, upto = max(0, at - int(lo)), at + 1 + int(rng.integers(0, WINDOW))
+            picks.append(laid_out(piece[first:upto], [0])[0])
+            ys.append(label)
     laid, y = np.array(picks), np.array(ys, dtype="f4")
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     net, step = fresh(rng), 0
@@ -212,9 +222,9 @@ def train(rows: list[tuple[str, int]], epochs: int = 8, seed: int = 3) -> Model:
                 v += 0.001 * (g[k] ** 2 - v)
                 net[k] = (net[k] - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype("f4")
     proj = {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}
-    top = np.array([score_windows(net, proj, laid_out(ids[i], windows(len(ids[i])))).max() for i in rest])
-    slope, offset = calibrate(top, labels[rest])
-    return Model(by_word, by_gram, net, slope, offset)
+    logit = score_windows(net, proj, np.concatenate(laid_all))
+    top = np.maximum.reduceat(logit, np.concatenate([[0], np.cumsum([len(w) for w in laid_all])[:-1]]))
+    return Model(*learned(np.arange(len(rows))), net, *calibrate(top, labels))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
