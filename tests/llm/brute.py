@@ -25,3 +25,55 @@ def base_digest(text: str | None) -> str:
 
 def crc(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+def words_3(text: str | None) -> list[bytes]:
+    tokens = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    if not tokens:
+        return []
+    return [b" ".join(tokens[i : i + 3]) for i in range(len(tokens) - 2)] if len(tokens) >= 3 else [b" ".join(tokens)]
+
+
+def simhash(text: str | None) -> int:
+    import xxhash
+
+    hs = [xxhash.xxh64_intdigest(g, seed=42) for g in words_3(text)]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def components(prints: list[tuple[int, int]], distance: int = 3) -> dict[int, int]:
+    """doc_id -> smallest doc_id that links of fingerprints reach, by comparing all pairs."""
+    parent = {i: i for i, _ in prints}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (i, a) in enumerate(prints):
+        for j, b in prints[:n]:
+            if (a ^ b).bit_count() <= distance:
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i, _ in prints}
+
+
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def item_words(text: str | None) -> list[str]:
+    return ITEM_WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+
+def overlap(text: str | None, items: list[tuple[int, str | None]], window: int = 10) -> tuple[int, int, list[str]]:
+    """Words, words hit, and the ids of items hit."""
+    w, hit, found = item_words(text), set(), set()
+    for item, t in items:
+        v = item_words(t)
+        n = min(window, len(v))
+        wins = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)} if n else set()
+        for i in range(len(w) - n + 1):
+            if n and tuple(w[i : i + n]) in wins:
+                hit |= set(range(i, i + n))
+                found.add(str(item))
+    return len(w), len(hit), sorted(found)
