@@ -14,7 +14,7 @@ from geohealth.llm.common import materialize
 
 #: Rows of a cell (the unit of work on the index side) and queries that meet it in one group.
 CELL_ROWS, GROUP_QUERIES = 2048, 4096
-MOST_LISTS, SAMPLE_PER_LIST = 2048, 32
+MOST_LISTS, SAMPLE_PER_LIST, WIDEN = 2048, 32, 8
 ROWS = "cell int, list int, vec_id long, _row long, vec binary"
 FOUND = "query_id long, _query long, vec_id long, _row long, score double"
 
@@ -89,8 +89,8 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
 
     queries is a condition on vec_id; candidates are all rows but the query's own. The index holds every row; its
     centroids are fitted on at most MOST_LISTS * SAMPLE_PER_LIST rows in the order of a hash. Each query probes the share
-    `probe` of the lists, nearest first. Its nearest list is scanned first, which gives the bound that the scan of the
-    others tests against. Lists are dealt to cells of about CELL_ROWS rows and large ones, such as a vector with very
+    `probe` of the lists, nearest first: one, then rounds of ever more, each with the k-th best score so far as the bound
+    that its scan tests against. Lists are dealt to cells of about CELL_ROWS rows and large ones, such as a vector with very
     many copies, are split among several, so no group is larger than CELL_ROWS by GROUP_QUERIES.
 
     Scores are sums in double precision over the original components; ties go to the smaller vec_id. Vectors that are
@@ -140,14 +140,15 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     asked = rows.where(queries(F.col("vec_id")))
     groups = max(1, -(-asked.count() // GROUP_QUERIES))
 
-    def route(first: bool):
+    def route(near: int, far: int):
+        """Queries with the cells that hold the lists from the near-th to before the far-th of theirs."""
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 if not b.num_rows:
                     continue
                 x = matrix(b.column("v"))
                 order = np.argsort(-(x @ means.T), axis=1, kind="stable")
-                order = order[:, :1] if first else order[:, 1:take]
+                order = order[:, near:far]
                 out: list[tuple] = []
                 for i, (vec_id, row) in enumerate(zip(b.column("vec_id").to_pylist(), b.column("_row").to_pylist())):
                     by: dict[int, list[int]] = {}
@@ -171,7 +172,9 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
             some = right.iloc[start : start + 256]
             q = np.frombuffer(b"".join(some["q"]), dtype="f8").reshape(-1, dims)
             tau = some["tau"].to_numpy(dtype="f8")
-            near = scan_cell(x, x_list, q, [set(p) for p in some["probes"]], np.where(np.isfinite(tau), tau, -1e18), rotation, block, epsilon)
+            tau = np.where(np.isfinite(tau), tau, -1e18)
+            near = scan_cell(x, x_list, q, [set(p) for p in some["probes"]], tau, rotation, block, epsilon)
+            near[near < tau[:, None] - 1e-9] = -np.inf
             near[some["_query"].to_numpy()[:, None] == own[None, :]] = -np.inf
             least = np.full(len(q), -np.inf)
             if near.shape[1] > k:
@@ -189,18 +192,21 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else index.withColumn("part", F.lit(0))
     best = Window.partitionBy("_query").orderBy(F.desc("score"), "vec_id", "_row")
 
-    def found(first: bool, tau: DataFrame | None) -> DataFrame:
-        routed = asked.select("vec_id", "_row", "v").mapInArrow(route(first), "cell int, query_id long, _query long, q binary, probes array<int>")
+    def found(near: int, far: int, tau: DataFrame | None) -> DataFrame:
+        routed = asked.select("vec_id", "_row", "v").mapInArrow(route(near, far), "cell int, query_id long, _query long, q binary, probes array<int>")
         routed = routed.withColumn("part", F.pmod(F.xxhash64("_query"), F.lit(groups)).cast("int"))
         routed = routed.withColumn("tau", F.lit(None).cast("double")) if tau is None else routed.join(tau, "_query", "left")
-        both = copies.groupBy("cell", "part").cogroup(routed.groupBy("cell", "part")).applyInPandas(meet, FOUND)
-        return both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-
-    near = materialize(found(True, None), "near")
-    tau = near.where(F.col("rank") == k).select("_query", F.col("score").alias("tau"))
-    rest = found(False, tau)
-    out = near.unionByName(rest).drop("rank").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        return copies.groupBy("cell", "part").cogroup(routed.groupBy("cell", "part")).applyInPandas(meet, FOUND)
+
+    # each round probes WIDEN times the lists so far; its bound leaves about k * WIDEN rows a query, however many rows there are
+    top, near, far = None, 0, 1
+    while True:
+        got = found(near, far, None if top is None else top.where(F.col("rank") == k).select("_query", F.col("score").alias("tau")))
+        got = got if top is None else got.unionByName(top.drop("rank"))
+        top = got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        if far >= take:
+            return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        top, near, far = materialize(top, "nearest"), far, min(take, far * WIDEN)
 
 
 def run(spark, sf_dir: str) -> DataFrame:
