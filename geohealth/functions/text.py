@@ -23,16 +23,31 @@ def natural_number(label: Column) -> Column:
     return F.regexp_extract(label, r"(\d+)$", 1).try_cast("int")
 
 
-def item_dates(name: Column) -> tuple[Column, Column]:
-    """Start and end timestamp texts of the first date pattern that a name holds; a single date is both; NULL without one."""
-    found = F.coalesce(*[F.nullif(F.regexp_extract(name, p, 1), F.lit("")) for p in DATE_PATTERNS])
+def _let(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def item_period(name: Column) -> Column:
+    """struct<start, end>: timestamp texts of the first date pattern that a name holds; a single date is both; NULL without one."""
 
     def shown(part: Column) -> Column:
-        moment = F.coalesce(F.try_to_timestamp(part, F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(part, F.lit("yyyyMMdd")))
+        # by length, as a failed parse costs far more than a test
+        moment = F.when(F.length(part) == 15, F.try_to_timestamp(part, F.lit("yyyyMMdd'T'HHmmss"))).otherwise(F.try_to_timestamp(part, F.lit("yyyyMMdd")))
         return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
-    parts = F.split(found, "_")
-    return shown(F.get(parts, F.lit(0))), shown(F.coalesce(F.get(parts, F.lit(1)), F.get(parts, F.lit(0))))
+    def dated(s: Column) -> Column:
+        tried = F.array(*[F.regexp_extract(s, p, 1) for p in DATE_PATTERNS])
+        return F.split(F.get(F.filter(tried, lambda x: x != ""), F.lit(0)), "_")
+
+    first, last = lambda p: F.get(p, F.lit(0)), lambda p: F.get(p, F.size(p) - 1)
+    return _let(name, lambda s: _let(dated(s), lambda p: F.struct(_let(first(p), shown).alias("start"), _let(last(p), shown).alias("end"))))
+
+
+def item_dates(name: Column) -> tuple[Column, Column]:
+    """Start and end of item_period."""
+    both = item_period(name)
+    return both["start"], both["end"]
 
 
 def _abbreviation(values: dict[str, str], key: Column) -> Column:

@@ -74,8 +74,8 @@ def build_items(paths: DataFrame, path: str = "path") -> DataFrame:
     name = F.element_at(F.split(F.col(path), "/"), -1)
     stem, extension = F.substring_index(name, ".", 1), F.lower(F.substring_index(name, ".", -1))
     kinds = lambda at: F.coalesce(*[F.when(extension == e, F.lit(v[at])) for e, v in ASSET_TYPES.items()], F.lit("application/octet-stream" if at == 0 else "data"))
-    start, end = text.item_dates(stem)
-    files = paths.select(stem.alias("item"), start.alias("start"), end.alias("end"), extension.alias("key"), F.struct(F.col(path).alias("href"), kinds(0).alias("type"), kinds(1).alias("role")).alias("asset")).where(F.col("start").isNotNull())
+    dated = paths.select(path, text.item_period(stem).alias("_when")).where(F.col("_when.start").isNotNull())
+    files = dated.select(stem.alias("item"), F.col("_when.start").alias("start"), F.col("_when.end").alias("end"), extension.alias("key"), F.struct(F.col(path).alias("href"), kinds(0).alias("type"), kinds(1).alias("role")).alias("asset"))
     one = files.groupBy("item", "start", "end", "key").agg(F.min("asset").alias("asset"))
     return one.groupBy("item", "start", "end").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "asset")))).alias("assets"))
 

@@ -50,10 +50,10 @@ def health_indicator(df: DataFrame, spatial: list[str], temporal: list[str], lay
     rows = health.crop_to_region(rows, region) if region is not None else rows
     rows = health.enrich_zones(rows, layer).withColumn("value", F.col("value").try_cast("double"))
     rows = health.standard_dates(classify.adaptive_round(rows), epi)
-    parts = []
-    for kind in dict.fromkeys("epiweek" if t == "week" else t for t in temporal):
-        parts.append(calendar.period_end(rows.where(F.col("agg_time") == kind), kind, "start_date").withColumnRenamed("period_end", "end_date"))
-    out = health.union_all(parts)
+    line = rows.select("agg_time", "start_date").distinct()  # a row per period, so the ends are worked out on few rows
+    kinds = dict.fromkeys("epiweek" if t == "week" else t for t in temporal)
+    ends = health.union_all([calendar.period_end(line.where(F.col("agg_time") == k), k, "start_date") for k in kinds])
+    out = rows.join(ends.withColumnRenamed("period_end", "end_date"), ["agg_time", "start_date"])
     return health.standardize(out.withColumnsRenamed({"title": "name_indicator", "provider": "data_source", "agg": "spatial_agg", "agg_time": "time_agg"}))
 
 
