@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+#: Characters of labelled texts that are learned from, together and each.
+SAMPLE_CHARS, SAMPLE_TEXT = 16_000_000, 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,7 +57,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
     """At most `rows` (text, label) pairs for training, none of them held out.
 
     The ids come from the small labels table in the order of a hash, so that the sample is the same in every run and at
-    most `rows` ids are broadcast to the scan of the documents. Null labels, ids and texts take no part.
+    most `rows` ids are broadcast to the scan of the documents. Null labels, ids and texts take no part. Texts are taken
+    whole, in that order, as long as they have SAMPLE_CHARS characters together; texts over SAMPLE_TEXT are left to others.
     """
     picked = (
         labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
@@ -62,6 +66,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
         .groupBy("doc_id").agg(F.max(column).alias("_label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    found = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).select("text", "_label").collect()
+    found = docs.where(F.length("text") <= SAMPLE_TEXT).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    first = found.withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id", "text").limit(rows)
+    so_far = Window.orderBy("_at", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)  # over `rows` rows at most
+    got = first.withColumn("_chars", F.sum(F.length("text")).over(so_far)).where(F.col("_chars") <= SAMPLE_CHARS).select("text", "_label").collect()
     return [(r[0], int(r[1])) for r in got]
