@@ -14,7 +14,7 @@ from geohealth.llm.common import materialize
 
 #: Rows of a cell (the unit of work on the index side) and queries that meet it in one group.
 CELL_ROWS, GROUP_QUERIES = 2048, 4096
-MOST_LISTS, SAMPLE_PER_LIST, WIDEN = 2048, 32, 8
+MOST_LISTS, SAMPLE_PER_LIST, SAMPLE_FLOATS, WIDEN = 2048, 32, 8_000_000, 8
 ROWS = "cell int, list int, vec_id long, _row long, vec binary"
 FOUND = "query_id long, _query long, vec_id long, _row long, score double"
 
@@ -88,7 +88,7 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     """The k rows of the largest inner product of each query: query_id, rank (from 1), vec_id, score.
 
     queries is a condition on vec_id; candidates are all rows but the query's own. The index holds every row; its
-    centroids are fitted on at most MOST_LISTS * SAMPLE_PER_LIST rows in the order of a hash. Each query probes the share
+    centroids are fitted on at most MOST_LISTS * SAMPLE_PER_LIST rows (and SAMPLE_FLOATS components) in the order of a hash. Each query probes the share
     `probe` of the lists, nearest first: one, then rounds of ever more, each with the k-th best score so far as the bound
     that its scan tests against. Lists are dealt to cells of about CELL_ROWS rows and large ones, such as a vector with very
     many copies, are split among several, so no group is larger than CELL_ROWS by GROUP_QUERIES.
@@ -104,11 +104,12 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     rows = materialize(usable(vectors, vector).withColumn("_row", F.monotonically_increasing_id()), "vectors")
     n = rows.count()
     lists = int(min(MOST_LISTS, max(1, n**0.5)))
-    sample = rows.orderBy(F.xxhash64("_row"), "_row").limit(lists * SAMPLE_PER_LIST).select("v").collect()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not sample:
-        return empty
-    means = centroids(np.array([r[0] for r in sample]), lists)
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    width = rows.select(F.size("v")).first()[0]
+    fitted = max(1, min(lists * SAMPLE_PER_LIST, SAMPLE_FLOATS // width))
+    sample = rows.orderBy(F.xxhash64("_row"), "_row").limit(fitted).select("v").toArrow()
+    means = centroids(sample.column("v").combine_chunks().flatten().to_numpy().reshape(-1, width), lists)
     lists, dims = means.shape
     rotation = np.linalg.qr(np.random.default_rng(11).standard_normal((dims, dims)))[0]
     take = max(1, int(np.ceil(probe * lists)))
