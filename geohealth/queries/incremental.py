@@ -13,7 +13,7 @@ from geohealth.streaming import streams
 
 def _folder(spark, name: str) -> str:
     """A folder of this run's in the shared place of checkpoints, or in the warehouse's where there is none."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/geohealth/{name}-{uuid.uuid4().hex}"
 
 
