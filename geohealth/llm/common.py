@@ -14,12 +14,16 @@ SAMPLE_CHARS, SAMPLE_TEXT = 16_000_000, 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_own: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir. Where the session has none (tests), one of our own."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="spark-scratch-"))
+        conf = _own[0]
     return conf.rstrip("/")
 
 
