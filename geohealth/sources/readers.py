@@ -40,9 +40,10 @@ def read_indicator(spark: SparkSession, path: str | list[str], roles: ColumnRole
 PAGES = "pagination struct<total_pages:int>, items array<struct<data_iniSE:string,municipio_geocodigo:bigint,uf:string,casos:double,p_inc100k:double,nivel:int,casconf:double>>"
 
 
-def read_case_pages(spark: SparkSession, path: str, field: str, indicator: str, start: str | None = None, end: str | None = None, code: int | None = None) -> DataFrame:
-    """Landed JSON pages, one row per record: indicator, date, agg, agg_time, cod, value (missing: 0), filtered by day and code."""
+def read_case_pages(spark: SparkSession, path: str, field: str, indicator: str, start: str | None = None, end: str | None = None, code: int | None = None, uf: str | None = None) -> DataFrame:
+    """Landed JSON pages, one row per record: indicator, date, agg, agg_time, cod, value (missing: 0), filtered by day, code and state."""
     items = spark.read.schema(PAGES).option("multiLine", True).json(path).select(F.explode("items").alias("r")).select("r.*")
+    items = items.where(F.col("uf") == uf) if uf is not None else items
     day, cod = F.to_date("data_iniSE"), F.col("municipio_geocodigo")
     agg = F.when(F.length(cod.cast("string")) == 2, "state").otherwise("municipality")
     out = items.select(F.lit(indicator).alias("indicator"), day.alias("date"), agg.alias("agg"), F.lit("epiweek").alias("agg_time"), cod.alias("cod"), F.coalesce(F.col(field).cast("double"), F.lit(0.0)).alias("value"))

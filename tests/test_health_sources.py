@@ -128,6 +128,16 @@ def test_stream_equals_batch(spark, tmp_path):
     assert weekly.agg(F.sum("n")).first()[0] == 60 and weekly.where(F.dayofweek("period_start") != 1).count() == 0
 
 
+def test_relational_load(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("DERBY_HOME", str(tmp_path))
+    df = spark.createDataFrame([(1, 2, 3.14159), (None, 1, 1.0)], "code long, number int, value double")
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    writers.write_jdbc(health.to_db_rows(df, "climate"), url, "layer", "overwrite", driver=driver)
+    writers.write_jdbc(health.to_db_rows(df, "climate"), url, "layer", "append", driver=driver)
+    back = spark.read.format("jdbc").options(url=url, dbtable="layer", driver=driver).load().collect()
+    assert [(r.code, str(r.value)) for r in back] == [(1, "3.1416")] * 2
+
+
 def test_db_rows_flavours(spark):
     df = spark.createDataFrame([(1, None, None), (None, 3, 2.345)], "code long, number int, value double")
     assert [(r.number, str(r.value)) for r in health.to_db_rows(df, "health").collect()] == [(0, "0.00"), (3, "2.35")]
