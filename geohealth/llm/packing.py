@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPECIAL = "<|endoftext|>"
-#: Words in a table of one worker at most; it has two.
-CACHE = 400_000
+#: Words in the newer half of a worker's table at most; that of words at the start of a line has a quarter of it.
+CACHE = 200_000
 _encoders: dict[str, Callable[[str], bytes]] = {}
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -28,15 +28,16 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     import tiktoken
     from public_tokenizers import PATTERN
-    from tokenizers import Tokenizer, pre_tokenizers
+    from tokenizers import Tokenizer
 
     spec = json.load(open(path, encoding="utf-8"))
     byte_of = dict(zip(_byte_alphabet(), range(256)))
     added = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(byte_of[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in added}
     plain = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    reference = Tokenizer.from_file(path)
-    assert isinstance(reference.pre_tokenizer, pre_tokenizers.ByteLevel)
+    assert spec["pre_tokenizer"]["type"] == "ByteLevel"
+    reference: list[Tokenizer] = []  # read when a text holds a special string
+    del spec
 
     def ids_of(part: str) -> bytes:
         return array("I", plain.encode_ordinary(part)).tobytes()
@@ -51,8 +52,8 @@ def encoder(path: str) -> Callable[[str], bytes]:
             ids = self[word] = self.old.get(word) or ids_of(self.lead + word)
             return ids
 
-        def trim(self) -> None:
-            if len(self) > CACHE:
+        def trim(self, most: int) -> None:
+            if len(self) > most:
                 self.old = dict(self)
                 self.clear()
 
@@ -61,7 +62,9 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     def encode(text: str) -> bytes:
         if any(s in text for s in added):
-            return array("I", reference.encode(text, add_special_tokens=False).ids).tobytes()
+            if not reference:
+                reference.append(Tokenizer.from_file(path))
+            return array("I", reference[0].encode(text, add_special_tokens=False).ids).tobytes()
         lines = [line.split(" ") for line in text.split("\n")]
         if any("" in words for words in lines) or len(text.split()) != sum(map(len, lines)):
             return ids_of(text)
@@ -69,8 +72,8 @@ def encoder(path: str) -> Callable[[str], bytes]:
         for i, words in enumerate(lines):
             out.append(after_line(words[0]) if i else ids_of(words[0]))
             out += map(after_space, words[1:])
-        spaced.trim()
-        first.trim()
+        spaced.trim(CACHE)
+        first.trim(CACHE // 4)
         return b"".join(out)
 
     return encode
@@ -154,13 +157,13 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1)
 
         ready: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):  # one text at a time
                 ids = encode(text.as_py() or "") + end
                 n, start = len(ids) // 4, 0
                 for length in cut(n, capacity):
                     ready += bins.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], n), length)
                     start += length
-                if len(ready) >= 20_000:
+                if len(ready) >= 5_000:
                     yield rows(ready)
                     ready = []
         if ready := ready + bins.rest():
