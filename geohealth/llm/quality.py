@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -211,7 +211,7 @@ def score_texts(field: Field, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-(field.slope * logit(mean) + field.offset)))
 
 
-def blocks(texts: list, chars: int = 2_000_000) -> Iterator[list]:
+def blocks(texts: Iterable, chars: int = 1_000_000) -> Iterator[list]:
     """Consecutive texts of at most so many characters together, or one longer text."""
     block, size = [], 0
     for t in texts:
@@ -230,7 +230,7 @@ def _scored(rows: DataFrame, field: Field, columns: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [score_texts(shared.value, block) for block in blocks(b.column("text").to_pylist())]
+            found = [score_texts(shared.value, block) for block in blocks(t.as_py() for t in b.column("text"))]
             rest = [n for n in b.schema.names if n != "text"]
             yield pa.record_batch([*[b.column(n) for n in rest], pa.array(np.concatenate(found) if found else np.zeros(0))], names=[*rest, "score"])
 
@@ -260,7 +260,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [score_texts(shared.value, block) for block in blocks(b.column("text").to_pylist())]
+            found = [score_texts(shared.value, block) for block in blocks(t.as_py() for t in b.column("text"))]
             s = np.concatenate(found) if found else np.zeros(0)
             yield pa.record_batch([*b.columns, pa.array(s)], names=[*b.schema.names, kept]).filter(pa.array(s >= THRESHOLD))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -293,7 +293,7 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.model.slope * top.astype("f8") + self.model.offset, -50, 50)))
 
 
-def blocks(texts: list, chars: int = 1_500_000) -> Iterator[list]:
+def blocks(texts: Iterable, chars: int = 1_000_000) -> Iterator[list]:
     """Consecutive texts of at most so many characters together, or one longer text."""
     block, size = [], 0
     for t in texts:
@@ -319,7 +319,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            found = [scorer(block) for block in blocks(b.column("text").to_pylist())]
+            found = [scorer(block) for block in blocks(t.as_py() for t in b.column("text"))]
             s = np.concatenate(found) if found else np.zeros(0)
             yield pa.record_batch([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= 0.5).astype("int32"))], names=["doc_id", "held_out", "score", "predicted"])
 
