@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import brute
 import duckdb
@@ -127,6 +128,41 @@ def decontaminated(df, items):
     return sorted((str(r.doc_id), r.n_words, r.n_hit, list(r.items)) for r in decontam.decontaminate(df, items).collect())
 
 
+def _similar(rows):
+    """doc_id -> smallest doc_id by all pairs: 3 bits of the fingerprints, or Jaccard similarity 0.8 of five-word shingles."""
+    def grams(text):
+        w = (text or "").encode().lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    known = [(i, brute.simhash(t), grams(t)) for i, t in rows]
+    comp = {i: i for i, _ in rows}
+    for n, (i, f, g) in enumerate(known):
+        for j, e, h in known[:n]:
+            if (f ^ e).bit_count() <= 3 or (g and h and 5 * len(g & h) >= 4 * len(g | h)):
+                x, y = comp[i], comp[j]
+                comp = {k: min(x, y) if c in (x, y) else c for k, c in comp.items()}
+    return comp
+
+
+def test_similar_documents_equal_all_pairs(spark, docs, edge, empty):
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(5000)}" for _ in range(n)] for n in (12, 40, 40, 90, 300)]
+    rows = [(n, " ".join(b)) for n, b in enumerate(base)]
+    for n in range(150):  # near copies about the bound, a large group of them, and a line that many share
+        w = list(base[n % 5] if n < 80 else base[3])
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+        rows.append((100 + n, " ".join(w)))
+    line = "one line that a lot of other texts have as well"
+    rows += [(300 + n, f"{line} " + " ".join(f"v{n}_{k}" for k in range(rng.randrange(12)))) for n in range(30)]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = _similar(rows)
+    assert got == want and want != brute.components([(i, brute.simhash(t)) for i, t in rows])
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert {r.doc_id for r in simhash.keep_one(docs, simhash.similar_documents).collect()} == set(_similar(rows).values())
+    assert simhash.keep_one(edge, simhash.similar_documents).count() == simhash.keep_one(edge).count() and simhash.similar_documents(empty).count() == 0
+
+
 def test_decontamination_edges(spark, edge, edge_rows, empty):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted((str(r[0]), *brute.overlap(r[1], [i for i in ITEMS if i[0] is not None])[:2], brute.overlap(r[1], [i for i in ITEMS if i[0] is not None])[2]) for r in edge_rows)
