@@ -31,14 +31,14 @@ STRONG = [
     Kind("access", r"AKIA[A-Z0-9]+", 0, 18, IDENTIFIER),
     Kind("hex", r"[0-9a-f]{16,}", 0, 16, SECRET),
 ]
-#: Weak kinds count only next to their complement.
+#: Weak kinds count only next to their complement. A key has a digit anywhere and any length from 32 on; names may have any prefix.
 WEAK = [
     Kind("weak_assign", _ASSIGN, 2, 6, SECRET, 12),
     Kind("weak_access", r"AKIA[A-Z0-9]+", 0, 8, IDENTIFIER, 18),
-    Kind("weak_key", r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/]{0,39}[0-9])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/=_-])", 0, 32, SECRET),
-    Kind("login", r"""(?i:\b(?:user|user_?name|login|client_?id|account|account_?id)["']?\x20{0,4}[:=]\x20{0,4}["']?)([A-Za-z0-9@_.+-]{3,64})""", 1, 3, IDENTIFIER),
+    Kind("weak_key", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/=_-])", 0, 32, SECRET),
+    Kind("login", r"""(?i:(?:user|user_?name|user[\x20_]?id|(?<![A-Za-z])uid|login|client_?id|account|account_?id|account_?name)["']?\x20{0,4}[:=]\x20{0,4}["']?)([A-Za-z0-9@_.+-]{3,64})""", 1, 3, IDENTIFIER),
     Kind("endpoint", r"(?i:\b(?:https?|ftp|ssh|jdbc:[a-z0-9]{2,16}|postgres|postgresql|mysql|mongodb|redis|amqp)://)[^\x00-\x20\"'<>]+", 0, 8, ENDPOINT),
-    Kind("host", r"""(?i:\b(?:host|hostname|endpoint|server|region)["']?\x20{0,4}[:=]\x20{0,4}["']?)([A-Za-z0-9.:-]{4,128})""", 1, 4, ENDPOINT),
+    Kind("host", r"""(?i:(?:host|hostname|endpoint|server|region)["']?\x20{0,4}[:=]\x20{0,4}["']?)([A-Za-z0-9.:-]{4,128})""", 1, 4, ENDPOINT),
 ]
 KINDS = [k.name for k in STRONG + WEAK]
 SPAN = "struct<start:int,end:int,kind:int>"
