@@ -4,34 +4,54 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Characters of labelled texts that are learned from, together and each.
-SAMPLE_CHARS, SAMPLE_TEXT = 16_000_000, 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
 _own: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir. Where the session has none (tests), one of our own."""
+    """The shared folder of spark.checkpoint.dir. Local sessions without one (tests) get one of their own; on a cluster it must be set."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-scratch-"))
         conf = _own[0]
     return conf.rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: the lineage is cut, and a lost executor costs no recomputation."""
-    path = f"{scratch_root(df.sparkSession)}/geohealth/{name}-{uuid.uuid4().hex}"
+    """Write df once to the shared folder and read it back: the lineage is cut, and a lost executor costs no recomputation.
+
+    The table is deleted when the application ends, or earlier by discard().
+    """
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/geohealth/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files, folder = _folder(spark, path)
+    files.deleteOnExit(folder)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of materialize() that nothing reads any more."""
+    for t in tables:
+        files, folder = _folder(t.sparkSession, t._scratch)
+        files.delete(folder, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +68,7 @@ def unused(df: DataFrame, name: str) -> str:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. lower() does just that unless a letter beyond ASCII has another lower case; then translate() does."""
-    other = text.rlike(r"[^\x00-\x7F&&[\p{javaUpperCase}\p{Lt}]]")
+    other = text.rlike(r"[\p{javaUpperCase}\p{Lt}&&[^\x00-\x7F]]")
     return F.when(other, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
@@ -57,12 +77,17 @@ def crc_bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, rows: int) -> list[tuple[str, int]]:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once however often the body uses it (also within its lambdas)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, rows: int, chars: int = 16_000_000, longest: int = 1_000_000) -> list[tuple[str, int]]:
     """At most `rows` (text, label) pairs for training, none of them held out.
 
     The ids come from the small labels table in the order of a hash, so that the sample is the same in every run and at
     most `rows` ids are broadcast to the scan of the documents. Null labels, ids and texts take no part. Texts are taken
-    whole, in that order, as long as they have SAMPLE_CHARS characters together; texts over SAMPLE_TEXT are left to others.
+    whole, in that order, as long as they have `chars` characters together; texts over `longest` are left to others.
     """
     picked = (
         labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
@@ -70,8 +95,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
         .groupBy("doc_id").agg(F.max(column).alias("_label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    found = docs.where(F.length("text") <= SAMPLE_TEXT).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    found = docs.where(F.length("text") <= longest).select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # `rows` ids at most
     first = found.withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id", "text").limit(rows)
     so_far = Window.orderBy("_at", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)  # over `rows` rows at most
-    got = first.withColumn("_chars", F.sum(F.length("text")).over(so_far)).where(F.col("_chars") <= SAMPLE_CHARS).select("text", "_label").collect()
+    got = first.withColumn("_chars", F.sum(F.length("text")).over(so_far)).where(F.col("_chars") <= chars).select("text", "_label").collect()
     return [(r[0], int(r[1])) for r in got]

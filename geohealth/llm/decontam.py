@@ -8,11 +8,12 @@ from pyspark.sql.window import Window
 
 from geohealth.llm.common import ascii_lower, materialize, unused
 
-#: A word of lower-cased text, and of any text.
+#: A word of lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Bits of the filter of prefix shingles; fixed, whatever the benchmark's size.
-FILTER_BITS = 1 << 20
+#: Bits of the filter of prefix shingles: FILTER_SHARE for each, within these bounds (2 MB at most).
+FILTER_SHARE, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 24
+#: Prefixes that are broadcast at most; more are joined by a shuffle whose keys are salted.
+BROADCAST_PREFIXES, SALTS = 200_000, 16
 
 
 def words(text: Column) -> Column:
@@ -59,26 +60,28 @@ def prefixes(windows: DataFrame, shingle: int) -> DataFrame:
     return ranked.select("win", "len", "m.at", "m.h", "m.k")
 
 
-def _filter(prefix: DataFrame) -> Column:
-    """A literal array of FILTER_BITS / 64 longs with the bit of each prefix shingle: a broadcast of fixed size."""
-    bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    got = prefix.groupBy(F.shiftright(bit, 6).alias("i")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((h & {FILTER_BITS - 1}L) & 63 as int))")).alias("bits"))
-    filled = dict(got.collect())  # at most FILTER_BITS / 64 rows
-    return F.expr(f"cast(split('{','.join(str(filled.get(i, 0)) for i in range(FILTER_BITS // 64))}', ',') as array<bigint>)")
+def _filter(prefix: DataFrame, bits: int) -> Column:
+    """A literal array of bits / 64 longs with the bit of each prefix shingle."""
+    bit = F.col("h").bitwiseAND(F.lit(bits - 1))
+    got = prefix.groupBy(F.shiftright(bit, 6).alias("i")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((h & {bits - 1}L) & 63 as int))")).alias("bits"))
+    filled = dict(got.collect())  # at most bits / 64 rows
+    return F.expr(f"cast(split('{','.join(str(filled.get(i, 0)) for i in range(bits // 64))}', ',') as array<bigint>)")
 
 
-def overlaps(docs: DataFrame, prefix: DataFrame, window: int, shingle: int) -> DataFrame:
-    """Every occurrence of a window in a document: doc_id, th (hash of the text), start (word), len, win."""
-    bits = _filter(prefix)
+def scan(docs: DataFrame, prefix: DataFrame, window: int, shingle: int) -> DataFrame:
+    """A row for each row of docs: doc_id, th (hash of the text), n (words) and found: the places of shingles that the filter lets through."""
+    count = prefix.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (FILTER_SHARE * count).bit_length()))
     kinds = [r[0] for r in prefix.select("k").distinct().collect()]  # at most `shingle` values
+    table = _filter(prefix, bits)
     base = docs.select("doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("w")).withColumn("n", F.size("w"))
 
     def candidates(k: int) -> Column:
         reach = window - k
 
         def maybe(x: Column) -> Column:
-            b = x["h"].bitwiseAND(F.lit(FILTER_BITS - 1))
-            return F.call_function("shiftright", F.get(bits, F.shiftright(b, 6).cast("int")), b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+            b = x["h"].bitwiseAND(F.lit(bits - 1))
+            return F.call_function("shiftright", F.get(table, F.shiftright(b, 6).cast("int")), b.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
         at = F.transform(F.sequence(F.lit(0), F.col("n") - k), lambda i: F.struct(i.alias("i"), _shingle(F.col("w"), i, k).alias("h")))
         # only the words that a window around the shingle can have go on with it
@@ -88,15 +91,27 @@ def overlaps(docs: DataFrame, prefix: DataFrame, window: int, shingle: int) -> D
             F.lit(k).alias("k")))
         return F.when(F.col("n") >= k, near)
 
-    if not kinds:
-        return docs.select("doc_id", F.lit(0).cast("long").alias("th"), F.lit(0).alias("start"), F.lit(0).alias("len"), F.lit("").alias("win")).where(F.lit(False))
-    found = candidates(kinds[0]) if len(kinds) == 1 else F.concat(*[F.coalesce(candidates(k), F.array()) for k in kinds])
-    c = base.select("doc_id", "th", "n", F.explode(found).alias("x")).select("doc_id", "th", "n", "x.*")
+    none = F.array().cast("array<struct<i:int,h:bigint,from:int,ctx:array<string>,k:int>>")
+    found = F.concat(*[F.coalesce(candidates(k), none) for k in kinds]) if kinds else none
+    return base.select("doc_id", "th", "n", found.alias("found"))
+
+
+def overlaps(scanned: DataFrame, prefix: DataFrame) -> DataFrame:
+    """Every occurrence of a window in a document: doc_id, th, start (word), len, win.
+
+    Few prefixes are broadcast. More are joined by a shuffle: a shingle that stands everywhere, such as a common word that
+    is an item by itself, is dealt to SALTS keys.
+    """
+    c = scanned.where(F.size("found") > 0).select("doc_id", "th", "n", F.explode("found").alias("x")).select("doc_id", "th", "n", "x.*")
     start = F.col("i") - F.col("at")
     fits = (start >= 0) & (start + F.col("len") <= F.col("n"))  # the bounds of length and position
     same = F.array_join(F.slice("ctx", start - F.col("from") + 1, F.col("len")), " ") == F.col("win")
-    hit = c.join(prefix, ["h", "k"]).where(fits).where(same)
-    return hit.select("doc_id", "th", start.alias("start"), "len", "win")
+    if prefix.count() <= BROADCAST_PREFIXES:
+        met = c.join(F.broadcast(prefix), ["h", "k"])
+    else:
+        salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = c.withColumn("salt", F.pmod(F.xxhash64("doc_id", "th", "i"), F.lit(SALTS)).cast("int")).join(salted, ["h", "k", "salt"])
+    return met.where(fits).where(same).select("doc_id", "th", start.alias("start"), "len", "win")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
@@ -105,11 +120,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     Words of an occurrence are hit; occurrences that overlap count a word once. Null text and items without words take no
     part; a document without words has none hit. Null doc_ids are scored like others; rows with equal id and text share
     their result, each in a row of its own. An item whose id is null counts for hits and is not listed. Empty tables give
-    no hits or no rows. Other columns are ignored.
+    no hits or no rows. Texts are read once, whole, in time in proportion to their length. Other columns are ignored.
     """
     wins = materialize(item_windows(benchmark, window), "windows")
     prefix = materialize(prefixes(wins, shingle), "prefixes")
-    hit = materialize(overlaps(docs, prefix, window, shingle), "overlaps")
+    scanned = materialize(scan(docs, prefix, window, shingle), "scanned")
+    hit = materialize(overlaps(scanned, prefix), "overlaps")
     key = ["doc_id", "th"]
     order = Window.partitionBy(*key).orderBy("start", "end")
     spans = hit.select(*key, "start", (F.col("start") + F.col("len")).alias("end")).distinct()
@@ -118,17 +134,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     counts = merged.groupBy(*key).agg(F.sum("new").alias("n_hit"))
     items = hit.select(*key, "win").distinct().join(wins, "win").groupBy(*key).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     got = counts.withColumnsRenamed({"doc_id": "_id", "th": "_th"}).join(items.withColumnsRenamed({"doc_id": "_id2", "th": "_th2"}), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_th") == F.col("_th2")), "left")
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(ANY_WORD)).cast("long").alias("n_words"))
+    rows = scanned.select("doc_id", "th", F.col("n").cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.join(got, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs (all columns) without the contaminated rows."""
-    wins = materialize(item_windows(benchmark, 10), "windows")
+    """docs (all columns) without the contaminated rows.
+
+    Null and empty texts hold no window and stay, as do null ids; repeated rows stay or go together. An empty table gives
+    an empty one, and without a benchmark all rows stay.
+    """
+    prefix = materialize(prefixes(item_windows(benchmark, 10), 5), "prefixes")
     own, th = unused(docs, "_id"), unused(docs, "_th")
-    hit = overlaps(docs, materialize(prefixes(wins, 5), "prefixes"), 10, 5).select(F.col("doc_id").alias(own), F.col("th").alias(th)).distinct()
+    hit = overlaps(scan(docs, prefix, 10, 5), prefix).select(F.col("doc_id").alias(own), F.col("th").alias(th)).distinct()
     hit = materialize(hit, "hit")
     return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(th)), "left_anti")
 

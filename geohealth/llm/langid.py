@@ -10,16 +10,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geohealth.llm.common import crc_bucket
 
 #: Hashed n-grams of 1 to 3 bytes, each order in a table of its own.
 ORDERS, SLOTS = (1, 2, 3), 1 << 12
-SAMPLE, SAMPLE_CHARS = 2000, 4_000_000
-LETTER = re.compile(r"[^\W\d_]")
+#: Rows that are learned from, and their characters together; of a text at most so many.
+SAMPLE, SAMPLE_CHARS, LONGEST = 2000, 4_000_000, 200_000
+#: Letters and, beyond ASCII, numerals such as a superscript, which has_letter() tells apart.
+LIKELY = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in LIKELY.finditer(text or ""))
+
+
 @dataclass
 class Coded:
     """Languages, their codewords (rows of -1 and 1) and the bits' linear classifiers."""
@@ -118,7 +125,7 @@ def margins(model: Coded, texts: list[bytes]) -> np.ndarray:
 
 
 def decode(model: Coded, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of the least summed logistic loss, its share against the other classes, and whether the second is near."""
+    """Class of the least summed logistic loss (of equal ones the first), its share against the other classes, and whether the second is near."""
     loss = np.logaddexp(0, -np.clip(model.code[None] * margin[:, None, :], -50, 50)).sum(axis=2)
     share = np.exp(loss.min(axis=1, keepdims=True) - loss)
     share /= share.sum(axis=1, keepdims=True)
@@ -126,14 +133,22 @@ def decode(model: Coded, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return loss.argmin(axis=1), share.max(axis=1), second > 0.5 * share.max(axis=1)
 
 
-def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most `rows` (text, lang), in the order of a hash; long texts beyond SAMPLE_CHARS in all are left out whole."""
-    picked = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_bucket(F.col("doc_id"), modulus) != held_out))
-    ids = picked.select("doc_id", "lang", F.xxhash64("doc_id").alias("_at")).orderBy("_at", "doc_id").limit(rows)
-    found = picked.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length("text") <= 50_000)
-    got, out, size = found.orderBy("_at", "doc_id", "text").limit(rows).select("text", "lang").collect(), [], 0
+def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMPLE, chars: int = SAMPLE_CHARS, longest: int = LONGEST) -> list[tuple[str, str]]:
+    """About `rows` (text, lang) rows, as many of each language as it has, up to its equal part and 20 at least.
+
+    Every language of the training rows is found, however rare. Within a language the order is that of a hash; texts over
+    `longest` characters are left to others, and texts are taken whole in turn as long as they have `chars` together.
+    """
+    picked = docs.where(F.col("lang").isNotNull() & (crc_bucket(F.col("doc_id"), modulus) != held_out) & (F.length("text") <= longest)).select("doc_id", "text", "lang")
+    languages = picked.select("lang").distinct().count()
+    each = max(20, -(-rows // max(1, languages)))
+    turn = Window.partitionBy("lang").orderBy("_at", "doc_id", "_th")
+    keys = picked.select("lang", "doc_id", F.xxhash64("doc_id").alias("_at"), F.xxhash64("text").alias("_th"))
+    ids = keys.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= each).select("doc_id", "lang", "_th", "_turn").distinct()
+    found = picked.withColumn("_th", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "_th"])  # `each` rows of a language
+    got, out, size = found.dropDuplicates(["doc_id", "lang", "_th", "_turn"]).orderBy("_turn", "lang").select("text", "lang").collect(), [], 0
     for text, lang in got:
-        if size + len(text) <= SAMPLE_CHARS:
+        if size + len(text) <= chars:
             out.append((text, lang))
             size += len(text)
     return out
@@ -142,10 +157,11 @@ def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMP
 def identify(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score, ambiguous.
 
-    The classifiers are fitted on at most SAMPLE rows with a language (at most SAMPLE_CHARS characters of whole texts)
-    outside of the held-out ids; each predicts a bit of the languages' codewords from all n-grams of a text. The language
-    whose codeword has the least summed loss is chosen; score is its share against the others, and a text whose second
-    language has over half of that is ambiguous. Null texts and texts without a letter, and all texts if nothing could
+    The classifiers are fitted on about SAMPLE rows with a language (at most SAMPLE_CHARS characters of whole texts of at
+    most LONGEST), equally of all languages, outside of the held-out ids; each predicts a bit of the languages' codewords
+    from all n-grams of a text. The language whose codeword has the least summed loss is chosen, of equally near ones the
+    first by name; score is its share against the others, and a text whose second language has over half of that is
+    ambiguous. A letter is what Unicode calls one: superscripts, fractions and other numerals aren't. Null texts and texts without a letter, and all texts if nothing could
     be learned, get `und` with score 0. Null ids are predicted like others; repeated rows come out repeatedly. An empty
     table gives an empty result; other columns are ignored.
     """
@@ -157,7 +173,7 @@ def identify(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
         for b in batches:
             texts = b.column("text").to_pylist()
             lang, score, unsure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
-            some = [i for i, t in enumerate(texts) if t and known.languages and LETTER.search(t)]
+            some = [i for i, t in enumerate(texts) if known.languages and has_letter(t)]
             while some:  # a bounded number of characters at a time
                 take, size = 0, 0
                 while take < len(some) and (not take or size + len(texts[some[take]]) < 2_000_000):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geohealth.llm.common import materialize, unused
+from geohealth.llm.common import let, unused
 
 IDENTIFIER, SECRET, ENDPOINT = 1, 2, 4
 
@@ -42,12 +43,29 @@ WEAK = [
 ]
 KINDS = [k.name for k in STRONG + WEAK]
 SPAN = "struct<start:int,end:int,kind:int>"
+#: Code points in a slice of a text that is redacted.
+SLICE = 2048
+#: Before and after all places.
+LOW, HIGH = -(1 << 30), 1 << 30
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """values[i] joined with all before it. Each step doubles how far a value has seen, so n values take n * log(n) work."""
+    def step(acc: Column, width: Column) -> Column:
+        joined = F.transform(acc, lambda v, i: F.when(i < width, v).otherwise(join(F.get(acc, i - width), v)))
+        return F.when(F.size(acc) <= width, acc).otherwise(joined)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(28)]), values, step)
+
+
+def _none() -> Column:
+    return F.array().cast(f"array<{SPAN}>")
 
 
 def _matches(text: Column, kinds: list[Kind]) -> Column:
     """Spans of one pattern, which `kinds` share: leftmost, non-overlapping, in code points.
 
-    split() gives what lies between the matches; the lengths of both in turn give every match its place.
+    split() gives what lies between the matches; the running sum of the lengths of both gives every match its place.
     """
     pattern = kinds[0].pattern
     rows = F.arrays_zip(
@@ -57,15 +75,13 @@ def _matches(text: Column, kinds: list[Kind]) -> Column:
     )
     rows = F.filter(rows, lambda r: r["all"].isNotNull())
     which = lambda n: F.coalesce(*[F.when((n >= k.least) & ((n < k.below) if k.below else F.lit(True)), F.lit(KINDS.index(k.name))) for k in kinds])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
 
-    def step(acc: Column, r: Column) -> Column:
-        at = acc["at"] + r["gap"]
-        span = F.struct(at.alias("start"), (at + r["all"]).alias("end"), which(r["own"]).alias("kind"))
-        return F.struct((at + r["all"]).alias("at"), F.when(which(r["own"]).isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span))).alias("spans"))
+    def placed(r: Column) -> Column:
+        ends = running(F.transform(r, lambda x: x["gap"] + x["all"]), lambda a, b: a + b)
+        spans = F.zip_with(r, ends, lambda x, end: F.struct((end - x["all"]).alias("start"), end.alias("end"), which(x["own"]).alias("kind")))
+        return F.filter(spans, lambda s: s["kind"].isNotNull())
 
-    found = F.aggregate(rows, start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(text.rlike(pattern), let(rows, placed)).otherwise(_none())
 
 
 def _shown(spans: Column) -> Column:
@@ -74,78 +90,98 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(order, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), spans: every strong and weak span, weak ones unconfirmed, sorted by place."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def scan(text: Column) -> Column:
+    """Every strong and weak span of a text, weak ones unconfirmed, sorted by place."""
     patterns: dict[str, list[Kind]] = {}
     for k in STRONG + WEAK:
         patterns.setdefault(k.pattern, []).append(k)
-    spans = F.concat(*[_matches(text, ks) for ks in patterns.values()])
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), F.array_sort(spans).alias("spans"))
+    text = F.coalesce(text, F.lit(""))
+    return F.array_sort(F.concat(*[_matches(text, ks) for ks in patterns.values()]))
 
 
-def link(scanned: DataFrame, reach: int = 200) -> DataFrame:
-    """doc_id, th and the weak spans that are confirmed.
+def link(spans: Column, reach: int = 200) -> Column:
+    """The weak spans of a sorted array of spans that are confirmed and that no strong span overlaps.
 
-    A scope is the `reach` code points to either side of a candidate's start. Parts are summed up by bucket of that
-    width, so a bucket has one row with the first and last place of each sort of part, however many it holds; a candidate
-    meets the three buckets that its scope touches in an equi-join, and the bounds decide. An identifier needs a secret
-    in its scope, a secret an identifier, an endpoint both.
+    A scope is the `reach` code points to either side of a candidate's start. An identifier needs a secret in its scope, a
+    secret an identifier, an endpoint both. The interval join is a sweep over the sorted spans: running maxima and minima
+    give every candidate the nearest identifier and secret on either side and the strong spans about it, so a text with m
+    spans takes m * log(m) work, whatever they are near to, and nothing leaves its row.
     """
-    strong, weak = len(STRONG), STRONG + WEAK
-    one = scanned.select("doc_id", "th", F.explode("spans").alias("s")).select("doc_id", "th", "s.*").distinct()
-    part = F.get(F.array(*[F.lit(k.part) for k in weak]), F.col("kind"))
-    one = one.withColumn("part", part).withColumn("bucket", F.floor(F.col("start") / reach).cast("int"))
-    bounds = [f(F.when(F.col("part") == p, F.col("start"))).alias(f"{n}{p}") for p in (IDENTIFIER, SECRET) for n, f in (("lo", F.min), ("hi", F.max))]
-    parts = one.where(F.col("part") != ENDPOINT).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("bucket").alias("_bucket")).agg(*bounds)
-    candidates = one.where(F.col("kind") >= strong).withColumn("near", F.explode(F.array(*[F.col("bucket") + d for d in (-1, 0, 1)])))
-    met = candidates.join(parts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")) & (F.col("near") == F.col("_bucket")))
-    # within the candidate's own bucket all is near; before it the last place counts, after it the first
-    seen = {p: F.max(F.when(F.col("near") == F.col("bucket"), F.col(f"lo{p}").isNotNull())
-                     .when(F.col("near") < F.col("bucket"), F.col(f"hi{p}") >= F.col("start") - reach)
-                     .otherwise(F.col(f"lo{p}") <= F.col("start") + reach)) for p in (IDENTIFIER, SECRET)}
-    asked = met.groupBy("doc_id", "th", "start", "end", "kind", "part").agg(F.coalesce(seen[IDENTIFIER], F.lit(False)).alias("i"), F.coalesce(seen[SECRET], F.lit(False)).alias("s"))
-    good = F.when(F.col("part") == IDENTIFIER, F.col("s")).when(F.col("part") == SECRET, F.col("i")).otherwise(F.col("i") & F.col("s"))
-    return asked.where(good).groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "end", "kind")).alias("linked"))
+    parts = F.array(*[F.lit(k.part) for k in STRONG + WEAK])
+    strong = lambda s: s["kind"] < len(STRONG)
+    is_ = lambda s, part: F.get(parts, s["kind"]) == part
+    here = lambda c, value, other: F.when(c, value).otherwise(F.lit(other))
+
+    def swept(all_: Column) -> Column:
+        before = F.transform(all_, lambda s: F.struct(here(is_(s, IDENTIFIER), s["start"], LOW).alias("i"), here(is_(s, SECRET), s["start"], LOW).alias("s"), here(strong(s), s["end"], LOW).alias("t")))
+        after = F.transform(F.reverse(all_), lambda s: F.struct(here(is_(s, IDENTIFIER), s["start"], HIGH).alias("i"), here(is_(s, SECRET), s["start"], HIGH).alias("s"), here(strong(s), s["start"], HIGH).alias("t")))
+        of = lambda f: lambda a, b: F.struct(*[f(a[n], b[n]).alias(n) for n in "ist"])
+        seen = F.arrays_zip(all_.alias("x"), running(before, of(F.greatest)).alias("b"), F.reverse(running(after, of(F.least))).alias("a"))
+
+        def good(r: Column) -> Column:
+            x = r["x"]
+            near = {p: (x["start"] - r["b"][p] <= reach) | (r["a"][p] - x["start"] <= reach) for p in "is"}
+            whole = F.when(is_(x, IDENTIFIER), near["s"]).when(is_(x, SECRET), near["i"]).otherwise(near["i"] & near["s"])
+            covered = (r["b"]["t"] > x["start"]) | (r["a"]["t"] < x["end"])
+            return ~strong(x) & whole & ~covered
+
+        return F.transform(F.filter(seen, good), lambda r: r["x"])
+
+    weak = lambda all_: F.exists(all_, lambda s: ~strong(s))
+    return let(spans, lambda all_: F.when(weak(all_), swept(all_)).otherwise(_none()))
+
+
+def found(text: Column, reach: int = 200) -> Column:
+    """strong and linked: the spans of a text that are secrets by themselves, and through their complement."""
+    return let(scan(text), lambda s: F.struct(F.filter(s, lambda x: x["kind"] < len(STRONG)).alias("strong"), link(s, reach).alias("linked")))
 
 
 def find_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
     """One row per row of docs: doc_id, strong and linked (arrays of start, end, kind number in KINDS).
 
-    Null and empty texts have no spans. Spans of different kinds may overlap; a weak span that a strong one covers is
-    not reported. Null doc_ids are scanned like others; rows with equal id and text share their result, each in a row of
-    its own. An empty table gives an empty result. Other columns are ignored.
+    Null and empty texts have no spans. Spans of different kinds may overlap; a weak span that a strong one overlaps is
+    not reported. Spans at the same place count once a kind. All work is done where the text is read, in time in
+    proportion to its length (times the logarithm of its matches), so very long texts and texts full of matches are like
+    others. Null doc_ids are scanned like others; repeated rows come out repeatedly. An empty table gives an empty result.
+    Other columns are ignored.
     """
-    rows = materialize(scan(docs), "spans")
-    some = rows.where(F.exists("spans", lambda s: s["kind"] >= len(STRONG))).distinct()
-    linked = link(some, reach).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    strong = F.filter("spans", lambda s: s["kind"] < len(STRONG))
-    out = rows.join(linked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left").select("doc_id", "th", strong.alias("strong"), F.coalesce("linked", F.array().cast(f"array<{SPAN}>")).alias("linked"))
-    covered = lambda w: F.exists("strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
-    return out.withColumn("linked", F.filter("linked", lambda w: ~covered(w)))
+    return docs.select("doc_id", found(F.col("text"), reach).alias("_found")).select("doc_id", "_found.strong", "_found.linked")
+
+
+def _between(slices: Column, start: Column, end: Column) -> Column:
+    """Code points start to end of a text that is given in slices."""
+    part = lambda n: F.substring(F.get(slices, n), F.greatest(start - n * SLICE, F.lit(0)) + 1, F.least(end - n * SLICE, F.lit(SLICE)) - F.greatest(start - n * SLICE, F.lit(0)))
+    first, last = F.floor(start / SLICE).cast("int"), F.floor((end - 1) / SLICE).cast("int")
+    return F.when(start >= end, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(first, last), part), ""))
+
+
+def masked(text: Column, spans: Column, mark: str) -> Column:
+    """The text with each of the sorted spans replaced; overlapping ones together. Every slice of the text is cut by its own spans only."""
+    def cleaned(s: Column, slices: Column) -> Column:
+        upto = running(F.transform(s, lambda x: x["end"]), F.greatest)
+        before = F.concat(F.array(F.lit(0)), upto)
+        pieces = F.zip_with(s, F.slice(before, 1, F.size(s)), lambda x, b: F.when(x["start"] >= b, F.concat(_between(slices, b, x["start"]), F.lit(mark))).otherwise(F.lit("")))
+        return F.concat(F.array_join(pieces, ""), _between(slices, F.element_at(upto, -1), F.length(text)))
+
+    slices = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SLICE}}}"), F.lit(0))
+    return let(spans, lambda s: let(slices, lambda sl: cleaned(s, sl)))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", reach: int = 200) -> DataFrame:
     """docs (all columns) with each span of a secret replaced in text; n_chars, where there is one, is counted anew.
 
-    Overlapping spans are replaced together. Texts without spans, and null texts, stay as they are.
+    Overlapping spans are replaced together. Texts without spans, empty and null texts stay as they are, as do all other
+    columns, null ids and repeated rows. Masking is done where the text is read: nothing is joined or shuffled. An empty
+    table gives an empty one.
     """
-    found = find_secrets(docs).select("doc_id", "th", F.array_sort(F.concat("strong", "linked")).alias("spans")).where(F.size("spans") > 0).distinct()
-    own, th, spans = (unused(docs, n) for n in ("_id", "_th", "_spans"))
-    found = materialize(found, "found").withColumnsRenamed({"doc_id": own, "th": th, "spans": spans})
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], between, F.lit(mark)).alias("out"))).otherwise(
-            F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-
-    cleaned = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cleaned)
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(th)), "left").withColumn("text", text)
+    spans, new = unused(docs, "_spans"), unused(docs, "_new")
+    every = let(found(F.col("text"), reach), lambda f: F.array_sort(F.concat(f["strong"], f["linked"])))
+    out = docs.withColumn(spans, every)
+    out = out.withColumn(new, F.when(F.size(spans) > 0, masked(F.col("text"), F.col(spans), mark)))
+    changed = {"text": F.coalesce(F.col(new), F.col("text"))}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return joined.select(docs.columns)
+        changed["n_chars"] = F.when(F.col(new).isNotNull(), F.length(new).cast("long")).otherwise(F.col("n_chars"))
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
 
 def run(spark, sf_dir: str) -> DataFrame:
