@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geohealth.llm.common import materialize
+from geohealth.llm.common import discard, materialize
 
 #: Rows of a cell (the unit of work on the index side) and queries that meet it in one group.
-CELL_ROWS, GROUP_QUERIES = 2048, 4096
-MOST_LISTS, SAMPLE_PER_LIST, SAMPLE_FLOATS, WIDEN = 2048, 32, 8_000_000, 8
-ROWS = "cell int, list int, vec_id long, _row long, vec binary"
+CELL_ROWS, GROUP_QUERIES = 4096, 4096
+#: Bounds of what the centroids and the probe are fitted on: lists, rows a list, components of all rows.
+MOST_LISTS, SAMPLE_PER_LIST, SAMPLE_FLOATS = 16_384, 32, 8_000_000
+#: Queries of the sample that the probe is fitted on.
+TRIED = 400
 FOUND = "query_id long, _query long, vec_id long, _row long, score double"
 
 
@@ -28,115 +31,148 @@ def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
     return rows.where(F.size("v") == (lengths[0][0] if lengths else 0))
 
 
-def centroids(sample, lists: int, rounds: int = 8, seed: int = 7):
+def centroids(sample: np.ndarray, lists: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """k-means by direction over the sample; the lists' mean vectors."""
-    import numpy as np
-
     rng = np.random.default_rng(seed)
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    unit = (sample / np.linalg.norm(sample, axis=1, keepdims=True)).astype("f4")
     c = unit[rng.choice(len(unit), min(lists, len(unit)), replace=False)]
     for _ in range(rounds):
-        own = (unit @ c.T).argmax(axis=1)
+        own = nearest_list(unit, c)
         sums = np.zeros_like(c)
         np.add.at(sums, own, unit)
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(norm > 0, sums / np.where(norm > 0, norm, 1), c)
-    return c
+    return c.astype("f8")
 
 
-def scan_cell(x, x_list, q, probes, tau, rotation, block: int, epsilon: float):
-    """Inner products of q (rows) with x, -inf where a list isn't probed or a candidate was abandoned.
+def nearest_list(x: np.ndarray, means: np.ndarray) -> np.ndarray:
+    return np.concatenate([(x[at : at + 4096] @ means.T).argmax(axis=1) for at in range(0, len(x), 4096)]).astype("int32")
+
+
+def fitted_probe(sample: np.ndarray, means: np.ndarray, k: int, recall: float) -> float:
+    """The least share of the lists, nearest first, that holds the share `recall` of the sample's own k nearest."""
+    own = nearest_list(sample, means)
+    near = []
+    for q in range(0, min(TRIED, len(sample)), 50):
+        x = sample[q : min(q + 50, TRIED, len(sample))]
+        ip = x @ sample.T
+        ip[np.arange(len(x)), q + np.arange(len(x))] = -np.inf
+        top = np.argsort(-ip, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
+        place = np.argsort(np.argsort(-(x @ means.T), axis=1, kind="stable"), axis=1)
+        near.append(np.take_along_axis(place, own[top], axis=1).ravel())
+    ranks = np.sort(np.concatenate(near))
+    return float(ranks[int(np.ceil(recall * len(ranks))) - 1] + 1) / len(means) if len(ranks) else 1.0
 
-    After each block of rotated dimensions the partial squared distance, scaled up to all of them, is tested against the
-    distance at which the inner product would fall to tau; where it exceeds that by epsilon / sqrt(dimensions) the
-    candidate is given up and its other dimensions aren't read.
-    """
-    import numpy as np
 
+def scan_cell(x: np.ndarray, x_list: np.ndarray, q: np.ndarray, probes: np.ndarray, tau: np.ndarray, block: int, epsilon: float) -> np.ndarray:
+    """Inner products of rotated queries q with rotated rows x, -inf where a list isn't probed or a candidate was abandoned.
+
+    probes: whether a query probes a list (a column for each list in the cell). After each block of dimensions the partial
+    squared distance, scaled up to all of them, is tested against the distance at which the inner product would fall to
+    tau; where it exceeds that by epsilon / sqrt(dimensions) the candidate is given up. A block is read for all pairs of
+    a list while over a quarter of them go on, and from then on for these alone.
+    """
     dims = x.shape[1]
-    xr, qr = x @ rotation, q @ rotation
-    x2, q2 = (xr * xr).sum(1), (qr * qr).sum(1)
+    x2, q2 = (x * x).sum(1), (q * q).sum(1)
     out = np.full((len(q), len(x)), -np.inf)
-    for one in np.unique(x_list):
-        xi, qi = np.flatnonzero(x_list == one), np.flatnonzero([one in p for p in probes])
-        if not len(qi):
+    for one in range(probes.shape[1]):
+        xi, qi = np.flatnonzero(x_list == one), np.flatnonzero(probes[:, one])
+        if not len(qi) or not len(xi):
             continue
         limit = q2[qi, None] + x2[None, xi] - 2 * tau[qi, None]
+        a, b = q[qi], x[xi]
         ip, sq = np.zeros(limit.shape), np.zeros(limit.shape)
-        a, b = qr[qi], xr[xi]
-        alive = np.ones(limit.shape, dtype=bool)
+        r = c = None
         for at in range(0, dims, block):
             aa, bb, seen = a[:, at : at + block], b[:, at : at + block], min(dims, at + block)
-            if alive.mean() > 0.25:
+            a2, b2 = (aa * aa).sum(1), (bb * bb).sum(1)
+            bound = (1 + epsilon / seen**0.5) ** 2 * seen / dims
+            if r is None:
                 part = aa @ bb.T
                 ip += part
-                sq += (aa * aa).sum(1)[:, None] + (bb * bb).sum(1)[None, :] - 2 * part
-            else:
-                r, c = np.nonzero(alive)
-                part = (aa[r] * bb[c]).sum(1)
-                ip[r, c] += part
-                sq[r, c] += (aa * aa).sum(1)[r] + (bb * bb).sum(1)[c] - 2 * part
-            if seen < dims:
-                alive &= sq * (dims / seen) <= limit * (1 + epsilon / seen**0.5) ** 2 + 1e-9
-                if not alive.any():
+                sq += a2[:, None] + b2[None, :] - 2 * part
+                if seen == dims:
                     break
-        out[np.ix_(qi, xi)] = np.where(alive, ip, -np.inf)
+                alive = sq <= limit * bound + 1e-9
+                if alive.mean() <= 0.25:
+                    r, c = np.nonzero(alive)
+                    ip, sq, limit = ip[r, c], sq[r, c], limit[r, c]
+            else:
+                part = np.einsum("ij,ij->i", aa[r], bb[c])
+                ip = ip + part
+                sq = sq + a2[r] + b2[c] - 2 * part
+                if seen < dims:
+                    go = sq <= limit * bound + 1e-9
+                    r, c, ip, sq, limit = r[go], c[go], ip[go], sq[go], limit[go]
+        if r is None:
+            out[np.ix_(qi, xi)] = ip
+        else:
+            out[qi[r], xi[c]] = ip
     return out
 
 
-def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding", probe: float = 0.8, block: int = 16, epsilon: float = 2.1) -> DataFrame:
+def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding", recall: float = 0.97, block: int = 16, epsilon: float = 2.1) -> DataFrame:
     """The k rows of the largest inner product of each query: query_id, rank (from 1), vec_id, score.
 
-    queries is a condition on vec_id; candidates are all rows but the query's own. The index holds every row; its
-    centroids are fitted on at most MOST_LISTS * SAMPLE_PER_LIST rows (and SAMPLE_FLOATS components) in the order of a hash. Each query probes the share
-    `probe` of the lists, nearest first: one, then rounds of ever more, each with the k-th best score so far as the bound
-    that its scan tests against. Lists are dealt to cells of about CELL_ROWS rows and large ones, such as a vector with very
-    many copies, are split among several, so no group is larger than CELL_ROWS by GROUP_QUERIES.
+    queries is a condition on vec_id; candidates are all rows but the query's own. The index holds every row, rotated
+    once, in 2 * sqrt(rows) lists (at most MOST_LISTS); its centroids are fitted on at most SAMPLE_PER_LIST rows a list
+    (and SAMPLE_FLOATS components) in the order of a hash. The share of the lists that each query probes, nearest first,
+    is the least that holds `recall` of the nearest rows within that sample, so it is small where vectors have clusters
+    and large where they have none. The nearest lists come first; the k-th best score there is the bound that the scan of
+    the others tests against. A query that has fewer than k rows then goes on with all other lists.
+
+    Neighbouring lists are put in cells of CELL_ROWS rows and large ones, such as a vector with very many copies, are dealt
+    to several by a hash, so no group is larger than about 2 * CELL_ROWS rows by 2 * GROUP_QUERIES queries.
 
     Scores are sums in double precision over the original components; ties go to the smaller vec_id. Vectors that are
     null, zero, of another length than the commonest, or hold null or non-finite components take no part, nor do rows
     with null vec_id. Rows with the same vec_id are different rows: each is a candidate and, if it is a query, has ranks
-    of its own. Empty tables give no rows; other columns are ignored.
+    of its own. Tables of fewer than k candidates give all of them; empty tables give no rows; other columns are ignored.
     """
-    import numpy as np
-
     spark = vectors.sparkSession
     rows = materialize(usable(vectors, vector).withColumn("_row", F.monotonically_increasing_id()), "vectors")
     n = rows.count()
-    lists = int(min(MOST_LISTS, max(1, n**0.5)))
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = rows.select(F.size("v")).first()[0]
-    fitted = max(1, min(lists * SAMPLE_PER_LIST, SAMPLE_FLOATS // width))
+    dims = rows.select(F.size("v")).first()[0]
+    lists = int(min(MOST_LISTS, max(1, 2 * n**0.5)))
+    fitted = max(1, min(lists * SAMPLE_PER_LIST, SAMPLE_FLOATS // dims))
     sample = rows.orderBy(F.xxhash64("_row"), "_row").limit(fitted).select("v").toArrow()
-    means = centroids(sample.column("v").combine_chunks().flatten().to_numpy().reshape(-1, width), lists)
-    lists, dims = means.shape
+    sample = sample.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dims)
+    means = centroids(sample, min(lists, max(1, len(sample) // 4)))
+    means = means[np.argsort(means @ means[0], kind="stable")]  # neighbours have near numbers
+    lists = len(means)
+    take = max(1, int(np.ceil(fitted_probe(sample, means, k, recall) * lists)))
     rotation = np.linalg.qr(np.random.default_rng(11).standard_normal((dims, dims)))[0]
-    take = max(1, int(np.ceil(probe * lists)))
+    del sample
 
-    def matrix(column: pa.Array):
+    def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 x = matrix(b.column("v"))
-                own = (x @ means.T).argmax(axis=1).astype("int32")
-                yield pa.record_batch([pa.array(own), b.column("vec_id"), b.column("_row"), pa.array([r.tobytes() for r in x], pa.binary())], names=["list", "vec_id", "_row", "vec"])
-
-    index = materialize(rows.mapInArrow(assign, "list int, vec_id long, _row long, vec binary"), "index")
-    held = dict(index.groupBy("list").count().collect())  # at most MOST_LISTS rows
-    cells: list[list[int]] = [[] for _ in range(lists)]
-    at, room = -1, 0
-    for one, count in sorted(held.items()):
-        for _ in range(-(-count // CELL_ROWS)):
-            if count > room or not cells:
-                at, room = at + 1, CELL_ROWS
-            cells[one].append(at)
-            room -= min(count, CELL_ROWS)
-    spread = F.expr("array(" + ",".join("array(" + ",".join(map(str, c)) + ")" if c else "array(0)" for c in cells) + ")")
-    cell = F.get(F.get(spread, F.col("list")), F.pmod(F.xxhash64("_row"), F.size(F.get(spread, F.col("list")))).cast("int"))
-    index = index.withColumn("cell", cell).select(*[c.split()[0] for c in ROWS.split(", ")])
+                blobs = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (x, (x @ rotation).astype("f4"))]
+                yield pa.record_batch([pa.array(nearest_list(x, means)), b.column("vec_id"), b.column("_row"), *blobs], names=["list", "vec_id", "_row", "vec", "turned"])
+
+    index = materialize(rows.mapInArrow(assign, "list int, vec_id long, _row long, vec binary, turned binary"), "index")
+    # a list's cell: neighbours share one while they have room together; a large list has `parts` of its own
+    held = np.zeros(lists, dtype=np.int64)
+    for one, count in index.groupBy("list").count().collect():  # at most MOST_LISTS rows
+        held[one] = count
+    parts = np.maximum(1, -(-held // CELL_ROWS))
+    first, at, room = np.zeros(lists, dtype=np.int64), -1, 0
+    for one in range(lists):
+        if held[one] > room:
+            at, room = at + 1, CELL_ROWS
+        first[one] = at
+        if parts[one] > 1:
+            at, room = at + int(parts[one]) - 1, 0
+        else:
+            room -= int(held[one])
+    layout = spark.createDataFrame(pd.DataFrame({"list": np.arange(lists), "first": first, "parts": parts}), "list int, first long, parts long")
+    index = index.join(F.broadcast(layout), "list").select((F.col("first") + F.pmod(F.xxhash64("_row"), F.col("parts"))).alias("cell"), "list", "vec_id", "_row", "vec", "turned")
 
     asked = rows.where(queries(F.col("vec_id")))
     groups = max(1, -(-asked.count() // GROUP_QUERIES))
@@ -145,21 +181,21 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
         """Queries with the cells that hold the lists from the near-th to before the far-th of theirs."""
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                if not b.num_rows:
-                    continue
-                x = matrix(b.column("v"))
-                order = np.argsort(-(x @ means.T), axis=1, kind="stable")
-                order = order[:, near:far]
-                out: list[tuple] = []
-                for i, (vec_id, row) in enumerate(zip(b.column("vec_id").to_pylist(), b.column("_row").to_pylist())):
-                    by: dict[int, list[int]] = {}
-                    for one in order[i].tolist():
-                        for c in cells[one]:
-                            by.setdefault(c, []).append(one)
-                    out += [(c, vec_id, row, x[i].tobytes(), ls) for c, ls in by.items()]
-                if out:
-                    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
-                    yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*out), kinds)], names=["cell", "query_id", "_query", "q", "probes"])
+                for start in range(0, b.num_rows, 512):
+                    some = b.slice(start, 512)
+                    x = matrix(some.column("v"))
+                    order = np.argsort(-(x @ means.T), axis=1, kind="stable")[:, near:far]
+                    out: list[tuple] = []
+                    for i, (vec_id, row) in enumerate(zip(some.column("vec_id").to_pylist(), some.column("_row").to_pylist())):
+                        by: dict[int, list[int]] = {}
+                        for one in order[i].tolist():
+                            for c in range(first[one], first[one] + parts[one]):
+                                by.setdefault(c, []).append(one)
+                        blob = x[i].tobytes()
+                        out += [(c, vec_id, row, blob, ls) for c, ls in by.items()]
+                    if out:
+                        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
+                        yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*out), kinds)], names=["cell", "query_id", "_query", "q", "probes"])
         return work
 
     def meet(_key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -167,47 +203,63 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
         if left.empty or right.empty:
             return pd.DataFrame(columns=names)
         x = np.frombuffer(b"".join(left["vec"]), dtype="f8").reshape(-1, dims)
-        ids, own, x_list = left["vec_id"].to_numpy(), left["_row"].to_numpy(), left["list"].to_numpy()
-        parts = []
+        turned = np.frombuffer(b"".join(left["turned"]), dtype="f4").reshape(-1, dims)
+        ids, own = left["vec_id"].to_numpy(), left["_row"].to_numpy()
+        here, x_list = np.unique(left["list"].to_numpy(), return_inverse=True)
+        number = {one: i for i, one in enumerate(here.tolist())}
+        found = []
         for start in range(0, len(right), 256):
             some = right.iloc[start : start + 256]
             q = np.frombuffer(b"".join(some["q"]), dtype="f8").reshape(-1, dims)
             tau = some["tau"].to_numpy(dtype="f8")
             tau = np.where(np.isfinite(tau), tau, -1e18)
-            near = scan_cell(x, x_list, q, [set(p) for p in some["probes"]], tau, rotation, block, epsilon)
-            near[near < tau[:, None] - 1e-9] = -np.inf
+            probes = np.zeros((len(some), len(here)), dtype=bool)
+            for i, ls in enumerate(some["probes"]):
+                probes[i, [number[one] for one in ls.tolist() if one in number]] = True
+            near = scan_cell(turned, x_list, (q @ rotation).astype("f4"), probes, tau, block, epsilon)
+            slack = 1e-5 * np.abs(near[np.isfinite(near)]).max(initial=1.0)  # rotated components are single precision
+            near[near < tau[:, None] - slack] = -np.inf
             near[some["_query"].to_numpy()[:, None] == own[None, :]] = -np.inf
             least = np.full(len(q), -np.inf)
             if near.shape[1] > k:
                 least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
-            r, c = np.nonzero((near >= least[:, None] - 1e-9) & np.isfinite(near))
+            r, c = np.nonzero((near >= least[:, None] - 2 * slack) & np.isfinite(near))
             score = (q[r] * x[c]).sum(axis=1)
-            order = np.lexsort((ids[c], -score, r))
+            order = np.lexsort((own[c], ids[c], -score, r))
             r, c, score = r[order], c[order], score[order]
-            nth = np.arange(len(r)) - np.searchsorted(r, r)
-            good = nth < k
+            good = np.arange(len(r)) - np.searchsorted(r, r) < k
             r, c, score = r[good], c[good], score[good]
-            parts.append(pd.DataFrame({"query_id": some["query_id"].to_numpy()[r], "_query": some["_query"].to_numpy()[r], "vec_id": ids[c], "_row": own[c], "score": score}))
-        return pd.concat(parts, ignore_index=True)
+            found.append(pd.DataFrame({"query_id": some["query_id"].to_numpy()[r], "_query": some["_query"].to_numpy()[r], "vec_id": ids[c], "_row": own[c], "score": score}))
+        return pd.concat(found, ignore_index=True)
 
-    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else index.withColumn("part", F.lit(0))
     best = Window.partitionBy("_query").orderBy(F.desc("score"), "vec_id", "_row")
+    part = F.pmod(F.xxhash64("_query"), F.lit(groups)).cast("int").alias("part")
 
-    def found(near: int, far: int, tau: DataFrame | None) -> DataFrame:
-        routed = asked.select("vec_id", "_row", "v").mapInArrow(route(near, far), "cell int, query_id long, _query long, q binary, probes array<int>")
-        routed = routed.withColumn("part", F.pmod(F.xxhash64("_query"), F.lit(groups)).cast("int"))
-        routed = routed.withColumn("tau", F.lit(None).cast("double")) if tau is None else routed.join(tau, "_query", "left")
-        return copies.groupBy("cell", "part").cogroup(routed.groupBy("cell", "part")).applyInPandas(meet, FOUND)
-
-    # each round probes WIDEN times the lists so far; its bound leaves about k * WIDEN rows a query, however many rows there are
-    top, near, far = None, 0, 1
-    while True:
-        got = found(near, far, None if top is None else top.where(F.col("rank") == k).select("_query", F.col("score").alias("tau")))
+    def probed(asking: DataFrame, near: int, far: int, top: DataFrame | None) -> DataFrame:
+        """The k best of each query within the lists from near to far, and in `top`."""
+        routed = asking.mapInArrow(route(near, far), "cell long, query_id long, _query long, q binary, probes array<int>").select("*", part)
+        bound = F.lit(None).cast("double").alias("tau")
+        if top is None:
+            routed = routed.select("*", bound)
+        else:
+            routed = routed.join(top.where(F.col("rank") == k).select("_query", F.col("score").alias("tau")), "_query", "left").select("cell", "query_id", "_query", "q", "probes", "part", "tau")
+        copies = index.select("*", (F.explode(F.sequence(F.lit(0), F.lit(groups - 1))) if groups > 1 else F.lit(0)).alias("part"))
+        got = copies.groupBy("cell", "part").cogroup(routed.groupBy("cell", "part")).applyInPandas(meet, FOUND)
         got = got if top is None else got.unionByName(top.drop("rank"))
-        top = got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        if far >= take:
-            return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-        top, near, far = materialize(top, "nearest"), far, min(take, far * WIDEN)
+        return materialize(got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
+
+    asking = asked.select("vec_id", "_row", "v")
+    ahead = min(take, max(1, int(lists**0.5 / 2)))
+    top = probed(asking, 0, ahead, None)
+    if take > ahead:
+        early, top = top, probed(asking, ahead, take, top)
+        discard(early)
+    if take < lists:
+        enough = top.where(F.col("rank") == k).select(F.col("_query").alias("_row"))
+        few = materialize(asking.join(enough, "_row", "left_anti").select("vec_id", "_row", "v"), "few")
+        if not few.isEmpty():
+            early, top = top, probed(few, take, lists, top)
+    return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def run(spark, sf_dir: str) -> DataFrame:
