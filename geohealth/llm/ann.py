@@ -81,7 +81,7 @@ def scan_cell(x: np.ndarray, x_list: np.ndarray, q: np.ndarray, probes: np.ndarr
             continue
         limit = q2[qi, None] + x2[None, xi] - 2 * tau[qi, None]
         a, b = q[qi], x[xi]
-        ip, sq = np.zeros(limit.shape), np.zeros(limit.shape)
+        ip, sq, alive = np.zeros(limit.shape), np.zeros(limit.shape), np.ones(limit.shape, dtype=bool)
         r = c = None
         for at in range(0, dims, block):
             aa, bb, seen = a[:, at : at + block], b[:, at : at + block], min(dims, at + block)
@@ -93,7 +93,7 @@ def scan_cell(x: np.ndarray, x_list: np.ndarray, q: np.ndarray, probes: np.ndarr
                 sq += a2[:, None] + b2[None, :] - 2 * part
                 if seen == dims:
                     break
-                alive = sq <= limit * bound + 1e-9
+                alive &= sq <= limit * bound + 1e-9
                 if alive.mean() <= 0.25:
                     r, c = np.nonzero(alive)
                     ip, sq, limit = ip[r, c], sq[r, c], limit[r, c]
@@ -105,13 +105,13 @@ def scan_cell(x: np.ndarray, x_list: np.ndarray, q: np.ndarray, probes: np.ndarr
                     go = sq <= limit * bound + 1e-9
                     r, c, ip, sq, limit = r[go], c[go], ip[go], sq[go], limit[go]
         if r is None:
-            out[np.ix_(qi, xi)] = ip
+            out[np.ix_(qi, xi)] = np.where(alive, ip, -np.inf)
         else:
             out[qi[r], xi[c]] = ip
     return out
 
 
-def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding", recall: float = 0.97, block: int = 16, epsilon: float = 2.1) -> DataFrame:
+def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding", recall: float = 0.97, block: int = 16, epsilon: float = 1.6) -> DataFrame:
     """The k rows of the largest inner product of each query: query_id, rank (from 1), vec_id, score.
 
     queries is a condition on vec_id; candidates are all rows but the query's own. The index holds every row, rotated

@@ -240,7 +240,7 @@ def _scored(rows: DataFrame, field: Field, columns: str) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int = 2, sample: int = SAMPLE) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted.
 
-    At most `sample` labelled rows outside of the held-out ids are learned from. Every line of a text is labelled by the
+    At most `sample` labelled rows outside of the held-out ids (16 million characters) are learned from. Every line of a text is labelled by the
     field, with the features of its neighbours; the marginals are averaged by length and calibrated. Null and empty texts
     are one empty line. Null ids are scored like others; repeated rows come out repeatedly. Without labels of both kinds
     the score is the share of good rows. An empty table gives an empty result; other columns are ignored.
@@ -251,7 +251,12 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs (all columns) whose text scores THRESHOLD at least. The score is added where the text is read; nothing is joined."""
+    """docs (all columns) whose text scores THRESHOLD at least. The score is added where the text is read; nothing is joined.
+
+    Null and empty texts are scored as one empty line, whatever their id; repeated rows stay or go together. Very long
+    texts are scored whole. An empty table gives an empty one, and without labels of both kinds the share of good rows
+    decides on all.
+    """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     field = train(labelled_sample(docs, labels, "quality", 4, 2, SAMPLE))

@@ -15,20 +15,23 @@ from geohealth.llm.common import crc_bucket, labelled_sample
 #: ASCII but digits and letters to spaces; bytes beyond ASCII belong to words.
 APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Words of a window and the step to the next; at most so many labelled rows are learned from.
-WINDOW, STEP, SAMPLE = 40, 34, 2500
-GRAMS, SLOTS, INPUTS, HIDDEN, FOLDS = (4, 6), 1 << 18, 5, 8, 4
+WINDOW, STEP, SAMPLE = 40, 20, 4000
+#: Learned vectors: of hashed words and of hashed runs of CHARS characters, and the rate at which they learn.
+CHARS, WORD_SLOTS, CHAR_SLOTS, WIDTH, RATE = 5, 1 << 16, 1 << 15, 8, 0.002
+#: Character n-grams of the evidence, its slots; inputs of a word (two vectors and its evidence), states of a direction.
+GRAMS, SLOTS, INPUTS, HIDDEN, FOLDS = (4, 6), 1 << 18, 2 * WIDTH + 1, 8, 4
 #: Words that a task keeps the inputs of.
 KEPT = 300_000
 
 
 def hashed(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of whole words, slots of the character n-grams that begin at each byte (a row per order; 0: none), starts, lengths."""
+    """Slots of whole words, slots of the character n-grams that begin at each byte (a row for CHARS and for each of GRAMS; 0: none), starts, lengths."""
     lengths = np.array([len(w) + 2 for w in words], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     data = np.frombuffer(b"".join(b"^" + w + b"$" for w in words) + b"\0" * 8, dtype=np.uint8).astype(np.uint32)
     end = np.repeat(starts + lengths, lengths)
     n, at, grams = len(end), np.arange(len(end)), []
-    for order in GRAMS:
+    for order in (CHARS, *GRAMS):
         value = data[:n].copy()
         for k in range(1, order):
             value = value * np.uint32(257) + data[k : n + k]
@@ -51,21 +54,56 @@ def evidence(sets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.where(count.sum(axis=0) > 1, z / 4, 0).clip(-1, 3).astype("f4")
 
 
-def inputs(words: list[bytes], by_word: np.ndarray, by_gram: np.ndarray) -> np.ndarray:
-    """A row for each word: evidence of the word, highest and mean of its character n-grams by order, and length."""
+@dataclass
+class Vectors:
+    """Learned vectors of hashed words and of hashed runs of characters."""
+
+    words: np.ndarray
+    chars: np.ndarray
+
+
+def fresh_vectors(rng: np.random.Generator) -> Vectors:
+    return Vectors(*[rng.normal(0, 0.1, (n, WIDTH)).astype("f4") for n in (WORD_SLOTS, CHAR_SLOTS)])
+
+
+class Spelled:
+    """Distinct words with their slots; a word's characters are the runs from its first byte on."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.whole, grams, self.starts, self.lengths = hashed(words)
+        self.runs, self.grams = grams[0] % CHAR_SLOTS, grams[1:]
+        self.count = np.maximum(self.lengths - (CHARS - 1), 1)
+
+    def evidence(self, by_word: np.ndarray, by_gram: np.ndarray) -> np.ndarray:
+        """Sum of the evidence of each word and that of its strongest n-gram of each order."""
+        tops = [np.maximum.reduceat(np.where(g > 0, by_gram[g], 0), self.starts) for g in self.grams]
+        return (by_word[self.whole] + sum(tops)).astype("f4")
+
+    def places(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of these words the slots of all their runs, and where each word's begin among them."""
+        n = self.count[some]
+        begins = np.cumsum(n) - n
+        return self.runs[np.repeat(self.starts[some] - begins, n) + np.arange(n.sum())], begins
+
+    def vectors(self, learned: Vectors, some: np.ndarray) -> np.ndarray:
+        runs, begins = self.places(some)
+        chars = np.add.reduceat(learned.chars[runs], begins, axis=0) / self.count[some][:, None]
+        return np.concatenate([learned.words[self.whole[some] % WORD_SLOTS], chars], axis=1).astype("f4")
+
+
+def inputs(words: list[bytes], model: "Model") -> np.ndarray:
+    """A row for each word: its learned vector, the mean of those of its characters, and its evidence."""
     if not words:
         return np.zeros((0, INPUTS), dtype="f4")
-    whole, grams, starts, lengths = hashed(words)
-    marks = [np.where(g > 0, by_gram[g], 0) for g in grams]
-    tops = [np.maximum.reduceat(m, starts) for m in marks]
-    mean = np.add.reduceat(sum(marks), starts) / lengths
-    return np.stack([by_word[whole], *tops, mean, np.minimum(lengths, 20) / 20], axis=1).astype("f4")
+    spelled = Spelled(words)
+    return np.concatenate([spelled.vectors(model.vectors, np.arange(len(words))), spelled.evidence(model.by_word, model.by_gram)[:, None]], axis=1)
 
 
 @dataclass
 class Model:
     by_word: np.ndarray
     by_gram: np.ndarray
+    vectors: Vectors
     net: dict[str, np.ndarray]
     slope: float
     offset: float
@@ -118,7 +156,7 @@ def forward(net: dict, proj: dict[str, np.ndarray], mask: np.ndarray, keep: dict
 
 
 def gradients(net: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the weighted log loss, by back-propagation through time."""
+    """Of the weighted log loss by the network's weights and, as "x", by its inputs: back-propagation through time."""
     keep: dict = {}
     logit = forward(net, {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}, mask, keep)
     dl = weight * (sigmoid(logit) - y)
@@ -128,6 +166,7 @@ def gradients(net: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight:
     da = np.einsum("tnh,nh->tn", h, dp)
     ds = a * (da - (a * da).sum(axis=0))
     g["v"] = np.einsum("tn,tnh->h", ds, h)
+    g["x"] = np.zeros_like(x)
     dh_all = a[:, :, None] * dp[None] + ds[:, :, None] * net["v"]
     for d, part in (("f", dh_all[:, :, :HIDDEN]), ("b", dh_all[::-1, :, HIDDEN:])):
         xs, ms = (x, mask) if d == "f" else (x[::-1], mask[::-1])
@@ -145,6 +184,7 @@ def gradients(net: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight:
             g[f"c{d}"] += gates.sum(axis=0)
             g[f"U{d}"] += h0.T @ back
             dh = dh - ds_ * (1 - z) + back @ u.T
+            g["x"][t if d == "f" else len(xs) - 1 - t] += gates @ net[f"W{d}"].T
     return g
 
 
@@ -164,36 +204,40 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
-    """The network learns from windows that the evidence points to. While it learns, a row's evidence is that of the other
-    folds, so that it is no surer of it than it can be of new rows; afterwards it is that of all rows."""
+    """The network and the vectors of words and characters learn from windows, most of them where the evidence is.
+
+    While they learn, a row's evidence is that of the other folds, so that it is no surer of it than it can be of new rows;
+    afterwards it is that of all rows. Half of the words lose their own vector in each step, so that characters and
+    neighbours count. The network's weights are running means of the last steps.
+    """
     rng = np.random.default_rng(seed)
     docs, labels = [tokens(t) for t, _ in rows], np.array([y for _, y in rows], dtype=np.int64)
     number: dict[bytes, int] = {}
     ids = [np.array([number.setdefault(w, len(number)) for w in d], dtype=np.int64) for d in docs]
     fold = rng.permutation(len(rows)) % FOLDS
-    words = list(number)
+    words, learned_vectors = list(number), fresh_vectors(rng)
     if not words or len(set(labels.tolist())) < 2:
         flat = np.zeros(SLOTS, dtype="f4")
         base = float(np.clip(labels.mean() if len(labels) else 0.0, 0.01, 0.99))
-        return Model(flat, flat, fresh(rng), 0.0, float(np.log(base / (1 - base))))
-    whole, grams, starts, lengths = hashed(words)
-    of_word = np.repeat(np.arange(len(words)), lengths)
-    order = [np.unique(np.stack([of_word, g]), axis=1)[:, :] for g in grams]
-    order = np.concatenate(order, axis=1)
+        return Model(flat, flat, learned_vectors, fresh(rng), 0.0, float(np.log(base / (1 - base))))
+    spelled = Spelled(words)
+    of_word = np.repeat(np.arange(len(words)), spelled.lengths)
+    order = np.concatenate([np.unique(np.stack([of_word, g]), axis=1) for g in spelled.grams], axis=1)
     order = order[:, order[1] > 0]
     order = order[:, np.argsort(order[0], kind="stable")]
     cut = np.searchsorted(order[0], np.arange(len(words) + 1))
     gram_set = lambda d: np.unique(np.concatenate([order[1][cut[w] : cut[w + 1]] for w in np.unique(d)] or [np.zeros(0, np.int64)])).astype(np.int32)
-    seen = [np.unique(whole[d]).astype(np.int32) for d in ids], [gram_set(d) for d in ids]
+    seen = [np.unique(spelled.whole[d]).astype(np.int32) for d in ids], [gram_set(d) for d in ids]
 
     def learned(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return tuple(evidence([s[i] for i in some], labels[some]) for s in seen)
 
     # the numbers of a fold's words follow those of the folds before it
-    x = np.concatenate([*[inputs(words, *learned(np.flatnonzero(fold != f))) for f in range(FOLDS)], np.zeros((1, INPUTS), dtype="f4")])
-    hint = x[:, :3].sum(axis=1)
-    picks, ys = [], []
+    hint = np.concatenate([*[spelled.evidence(*learned(np.flatnonzero(fold != f))) for f in range(FOLDS)], np.zeros(1, dtype="f4")])
     laid_all = [laid_out(d + f * len(words), windows(len(d))) for d, f in zip(ids, fold)]
+    laid_all = [np.where(w < 0, FOLDS * len(words), w) for w in laid_all]
+    none = FOLDS * len(words)
+    picks, ys = [], []
     for laid, label in zip(laid_all, labels):
         best = np.argsort(-hint[laid].max(axis=1), kind="stable")[: 1 if label else 2]
         take = set(best.tolist()) | (set() if label else {int(rng.integers(len(laid)))})
@@ -204,27 +248,57 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
             piece = laid[best[0]]
             at = int(hint[piece].argmax())
             first, upto = max(0, at - int(lo)), at + 1 + int(rng.integers(0, WINDOW))
-            picks.append(laid_out(piece[first:upto], [0])[0])
+            part = piece[first:upto]
+            picks.append(np.concatenate([part, np.full(WINDOW - len(part), none, dtype=np.int64)]))
             ys.append(label)
     laid, y = np.array(picks), np.array(ys, dtype="f4")
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     net, step = fresh(rng), 0
     state = {k: [np.zeros_like(a), np.zeros_like(a)] for k, a in net.items()}
+    sums = [np.full((n, 1), 1e-6, dtype="f4") for n in (WORD_SLOTS, CHAR_SLOTS)]
     for _ in range(epochs):
         deal = rng.permutation(len(y))
         for at in range(0, len(y), 128):
             b = deal[at : at + 128]
-            mask = (laid[b].T >= 0).astype("f4")[:, :, None]
-            g = gradients(net, x[laid[b].T], mask, y[b], (weight[b] / len(b)).astype("f4"))
+            used, back = np.unique(laid[b].T, return_inverse=True)
+            some = used[used < none] % len(words)
+            x = np.zeros((len(used), INPUTS), dtype="f4")
+            x[: len(some), : 2 * WIDTH] = spelled.vectors(learned_vectors, some) if len(some) else 0
+            keep = rng.random(len(some)) > 0.5
+            x[: len(some), :WIDTH] *= keep[:, None]
+            x[: len(some), -1] = hint[used[: len(some)]]
+            back = back.reshape(laid[b].T.shape)
+            mask = (laid[b].T < none).astype("f4")[:, :, None]
+            g = gradients(net, x[back], mask, y[b], (weight[b] / len(b)).astype("f4"))
             step += 1
             for k, (m, v) in state.items():
                 m += 0.1 * (g[k] - m)
                 v += 0.001 * (g[k] ** 2 - v)
                 net[k] = (net[k] - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype("f4")
-    proj = {d: x @ net[f"W{d}"] + net[f"c{d}"] for d in "fb"}
-    logit = score_windows(net, proj, np.concatenate(laid_all))
-    top = np.maximum.reduceat(logit, np.concatenate([[0], np.cumsum([len(w) for w in laid_all])[:-1]]))
-    return Model(*learned(np.arange(len(rows))), net, *calibrate(top, labels))
+            mean = {k: mean[k] + (a - mean[k]) * max(0.02, 1 / step) for k, a in net.items()} if step > 1 else dict(net)
+            if len(some):
+                dx = np.zeros_like(x)
+                np.add.at(dx, back, g["x"])
+                runs, _ = spelled.places(some)
+                spread = np.repeat(dx[: len(some), WIDTH : 2 * WIDTH] / spelled.count[some][:, None], spelled.count[some], axis=0)
+                _descend(learned_vectors.words, sums[0], spelled.whole[some] % WORD_SLOTS, dx[: len(some), :WIDTH] * keep[:, None])
+                _descend(learned_vectors.chars, sums[1], runs, spread)
+    net = {k: a.astype("f4") for k, a in mean.items()}
+    x = np.concatenate([np.tile(spelled.vectors(learned_vectors, np.arange(len(words))), (FOLDS, 1)), hint[:-1, None]], axis=1)
+    proj = {d: np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"], np.zeros((1, 3 * HIDDEN), dtype="f4")]) for d in "fb"}
+    every = np.concatenate(laid_all)
+    logit = score_windows(net, proj, np.where(every == none, -1, every))
+    top = np.maximum.reduceat(logit, np.cumsum([0, *[len(w) for w in laid_all]])[:-1])
+    return Model(*learned(np.arange(len(rows))), learned_vectors, net, *calibrate(top, labels))
+
+
+def _descend(table: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float = RATE) -> None:
+    """A step against the gradients of some rows of a table, by the size of all that each row has had so far."""
+    used, back = np.unique(rows, return_inverse=True)
+    g = np.zeros((len(used), grad.shape[1]), dtype="f4")
+    np.add.at(g, back.reshape(-1), grad)
+    sums[used] += (g * g).mean(axis=1, keepdims=True)
+    table[used] -= rate * g / np.sqrt(sums[used]) + 1e-3 * table[used]
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -274,7 +348,7 @@ class Scorer:
         if len(names) >= len(self.proj["f"]):  # room for the words and a last row that stands for none
             self.proj = {d: np.concatenate([p[: self.done], np.zeros((len(names) * 3 // 2 + 1 - self.done, p.shape[1]), dtype="f4")]) for d, p in self.proj.items()}
         while self.done < len(names):
-            x = inputs(names[self.done : self.done + 20_000], self.model.by_word, self.model.by_gram)
+            x = inputs(names[self.done : self.done + 20_000], self.model)
             for d, p in self.proj.items():
                 p[self.done : self.done + len(x)] = x @ net[f"W{d}"] + net[f"c{d}"]
             self.done += len(x)
@@ -309,8 +383,8 @@ def blocks(texts: Iterable, chars: int = 1_000_000) -> Iterator[list]:
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, sample: int = SAMPLE) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted.
 
-    At most `sample` labelled rows outside of the held-out ids are learned from; whole texts are scored, by the highest
-    of all their overlapping windows. Null and empty texts are one empty window. Null ids are scored like others;
+    At most `sample` labelled rows outside of the held-out ids (16 million characters) are learned from; whole texts are scored, by the highest
+    of all their overlapping windows, each of WINDOW words and half of them shared with the next. Null and empty texts are one empty window. Null ids are scored like others;
     repeated rows come out repeatedly. Without labels of both kinds the score is the share of toxic rows. An empty table
     gives an empty result; other columns are ignored.
     """

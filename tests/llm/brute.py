@@ -77,3 +77,19 @@ def overlap(text: str | None, items: list[tuple[int, str | None]], window: int =
                 hit |= set(range(i, i + n))
                 found.add(str(item))
     return len(w), len(hit), sorted(found)
+
+
+def similar(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+    """doc_id -> smallest doc_id by all pairs: 3 bits of the fingerprints, or Jaccard similarity 0.8 of five-word shingles."""
+    def grams(text):
+        w = (text or "").encode().lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    known = [(i, simhash(t), grams(t)) for i, t in rows]
+    comp = {i: i for i, _ in rows}
+    for n, (i, f, g) in enumerate(known):
+        for j, e, h in known[:n]:
+            if (f ^ e).bit_count() <= 3 or (g and h and 5 * len(g & h) >= 4 * len(g | h)):
+                x, y = comp[i], comp[j]
+                comp = {k: min(x, y) if c in (x, y) else c for k, c in comp.items()}
+    return comp

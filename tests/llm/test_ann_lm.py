@@ -52,22 +52,43 @@ def test_recall_and_scores(spark):
 def test_small_and_broken_tables(spark):
     schema = "vec_id long, embedding array<double>"
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (1, [0.0, 0.0]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (None, [1.0, 1.0]), (6, [1.0, 2.0, 3.0]), (7, [-1.0, 0.0])]
-    got = ann.search(spark.createDataFrame(rows, schema), lambda i: i % 20 == 0, probe=1.0).collect()
+    got = ann.search(spark.createDataFrame(rows, schema), lambda i: i % 20 == 0).collect()
     assert len([r for r in got if r.query_id == 0]) == 3 and len([r for r in got if r.query_id == 20]) == 6  # two rows ask
     assert {r.vec_id for r in got} == {0, 7, 20}
     assert ann.search(spark.createDataFrame([], schema), lambda i: i % 20 == 0).count() == 0
     assert ann.search(spark.createDataFrame([(20, [1.0])], schema), lambda i: i % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [25, 26, 100])
+def test_clustered_tables_give_all_ranks(spark, n):
+    """Few rows, in tight and far clusters: every query has its 20 (or all) candidates at the registered setting."""
+    rng = np.random.default_rng(n)
+    x = np.eye(8)[rng.integers(0, 8, n)] * 5 + rng.normal(scale=0.01, size=(n, 8))
+    got = ann.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), lambda i: i % 20 == 0).toPandas()
+    assert got.groupby("query_id")["rank"].apply(lambda r: sorted(r) == list(range(1, min(20, n - 1) + 1))).all() and set(got["query_id"]) == set(range(0, n, 20))
+    want = nearest(np.arange(n), x)
+    hits = sum(len({i for _, i in want[q]} & set(rows["vec_id"])) for q, rows in got.groupby("query_id"))
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_probe_follows_the_data():
+    rng = np.random.default_rng(0)
+    loose, tight = rng.normal(size=(2000, 32)), np.repeat(rng.normal(size=(40, 32)) * 9, 50, axis=0) + rng.normal(scale=0.1, size=(2000, 32))
+    share = [ann.fitted_probe(x, ann.centroids(x, 40), 20, 0.97) for x in (loose, tight)]
+    assert share[0] > 0.3 and share[1] < 0.2
+
+
 def test_abandoning_keeps_what_is_near():
     rng = np.random.default_rng(0)
     x, q = rng.normal(size=(400, 64)), rng.normal(size=(8, 64))
+    x, q = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (x, q))
     rotation = np.linalg.qr(rng.normal(size=(64, 64)))[0]
     tau = np.sort(q @ x.T, axis=1)[:, -10]
-    near = ann.scan_cell(x, np.zeros(400, int), q, [{0}] * 8, tau, rotation, 16, 2.1)
+    lists = np.arange(400) % 2
+    near = ann.scan_cell(x @ rotation, lists, q @ rotation, np.array([[True, True]] * 7 + [[True, False]]), tau, 16, 1.6)
     kept = np.isfinite(near)
-    assert np.allclose(near[kept], (q @ x.T)[kept])
-    assert kept[(q @ x.T) >= tau[:, None]].mean() > 0.95
+    assert np.allclose(near[kept], (q @ x.T)[kept]) and not kept[7, 1::2].any()
+    assert kept[:7][(q @ x.T)[:7] >= tau[:7, None]].mean() > 0.95 and kept.mean() < 0.75
 
 
 def segmentations(model, text, at=0):
@@ -86,8 +107,69 @@ def test_lattice_sums_all_segmentations(word):
     want = math.log(sum(map(math.exp, segmentations(model, lm.MARK + word)))) + model.stop
     assert abs(model.forward(word) - want) < 1e-9
     counts = ({}, {})
-    model.expect(word, counts)
-    assert abs(sum(counts[False].values()) - 1) < 1e-9 and counts[True][""] == 1.0
+    model.expect(word, 3, counts)
+    assert abs(sum(counts[False].values()) - 3) < 1e-9 and counts[True][""] == 3.0
+
+
+def test_long_words():
+    """Block by block expected counts, and a forward recursion that keeps a few places only, give what the whole gives."""
+    model = lm.lattice(lm.vocabulary(PIECES), {})
+    word = "abc漢" * 3000
+    alpha, text = [0.0] + [-math.inf] * (len(word) + 1), lm.MARK + word
+    for i in range(len(text)):
+        for j, p, _ in model.spell(text, i):
+            alpha[j] = np.logaddexp(alpha[j], alpha[i] + p)
+    assert abs(model.forward(word) - alpha[-1] - model.stop) < 1e-6 * abs(alpha[-1])
+    counts = ({}, {})
+    model.expect(word, 1, counts)
+    pieces = sum(len(p) * n for c in counts for p, n in c.items() if not p.startswith("<0x"))
+    bytes_ = sum(n for c in counts for p, n in c.items() if p.startswith("<0x"))
+    assert abs(pieces + bytes_ / 3 - len(text)) < 1 + bytes_ * 2 / 3
+
+
+def test_vocabulary_keeps_its_share():
+    weights = lm.vocabulary(PIECES)
+    counts = {(False, "▁the"): 1e9, (True, "ing"): 1e9}
+    model = lm.lattice(weights, counts)
+    plain = lm.lattice(weights, {})
+    assert abs(math.exp(model.first["▁the"]) - 0.5 - 0.5 * math.exp(plain.first["▁the"])) < 1e-9
+    assert all(v >= plain.first[p] + math.log(0.5) - 1e-9 for p, v in model.first.items())
+
+
+def test_document_scores_equal_plain_sums(spark):
+    """The whole operator on small texts: every segmentation of every word is enumerated, the model is fitted plainly."""
+    texts = ["the cat", "a cat sat", "", "ñu the", None, "The  End", "zq"]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), PIECES).collect()}
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w.decode() for t in train for w in lm.tokens(t))
+    weights, plain = lm.vocabulary(PIECES), lm.lattice(lm.vocabulary(PIECES), {})
+
+    def ways(model, text, at=0):
+        if at == len(text):
+            yield 0.0, []
+            return
+        for j, p, piece in model.spell(text, at):
+            for rest, more in ways(model, text, j):
+                yield p + rest, [(at > 0, piece) if piece else (True, text[at].encode())] + more
+
+    expected = Counter()
+    for w, c in counts.items():
+        every = list(ways(plain, lm.MARK + w))
+        total = sum(math.exp(p) for p, _ in every)
+        for p, pieces in every:
+            for later, piece in pieces:
+                for one in [piece] if isinstance(piece, str) else [f"<0x{b:02X}>" for b in piece]:
+                    expected[later, one] += c * math.exp(p) / total
+        expected[True, ""] += c
+    model = lm.lattice(weights, expected)
+    n = sum(counts.values()) + len(train)
+    end = (len(train) + 1) / (n + 2)
+    for i, t in rows:
+        want = math.log10(end)
+        for w in lm.tokens(t):
+            want += math.log10(sum(math.exp(p) for p, _ in ways(model, lm.MARK + w.decode()))) + model.stop / math.log(10) + math.log10(1 - end)
+        assert abs(got[i].score - want) < 1e-6
 
 
 def test_lattice_is_normalised():
@@ -110,7 +192,7 @@ def check_base(got, rows):
 def test_scores_edges(edge, edge_rows, empty):
     got = lm.score(edge, PIECES).collect()
     check_base(got, [(r[0], r[1]) for r in edge_rows])
-    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    assert all(r.score < 0 and math.isfinite(r.score) and r.mixed_score < 0 for r in got)
     assert lm.score(empty, PIECES).count() == 0
 
 
@@ -123,3 +205,6 @@ def test_scores_with_few_frequent_words(spark, monkeypatch):
     check_base(got, rows)
     held = [r for r in got if r.held_out]
     assert held and all(r.score < 0 for r in got)
+    monkeypatch.setattr(lm, "HOT_SHARE", 2e-6)
+    again = {r.doc_id: r for r in lm.score(docs, PIECES).collect()}
+    assert all(abs(r.score - again[r.doc_id].score) < 1e-6 * abs(r.score) and abs(r.mixed_score - again[r.doc_id].mixed_score) < 1e-6 * abs(r.mixed_score) for r in got)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import brute
 import duckdb
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from geohealth.llm import decontam, packing, secrets, sharding, simhash
+from geohealth.llm import common, decontam, packing, secrets, sharding, simhash
 
 SF = "/root/testdata/sf0.001"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,10 +55,10 @@ def test_links_equal_all_pairs(spark):
     parts = ["user=adm1n", "password=short12", "https://x.example", "AKIA12345678", "word " * 9, "host=10.0.0.1"]
     rows = [(i, " ".join(parts[k] for k in rng.integers(0, len(parts), 30))) for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = {r.doc_id: [(s["start"], s["end"], s["kind"]) for s in r.spans] for r in secrets.scan(df).collect()}
+    spans = {r.doc_id: [(s["start"], s["end"], s["kind"]) for s in r.spans] for r in df.select("doc_id", secrets.scan(F.col("text")).alias("spans")).collect()}
     kinds = secrets.STRONG + secrets.WEAK
     for reach in (40, 200):
-        got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.linked) for r in secrets.link(secrets.scan(df), reach).collect()}
+        got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.linked) for r in df.select("doc_id", secrets.link(secrets.scan(F.col("text")), reach).alias("linked")).collect()}
         for i, found in spans.items():
             has = lambda s, part: any(kinds[k].part == part and abs(a - s) <= reach for a, _, k in found)  # noqa: B023, E731
             want = []
@@ -144,6 +145,44 @@ def test_one_of_each_group_stays(docs, edge):
     assert sorted(r.doc_id for r in left if r.doc_id is not None) == [1, 2, 4, 6, 7, 8, 9] and sum(r.doc_id is None for r in left) == 2
 
 
+def test_dense_texts_take_linear_time(spark):
+    """Texts full of keys and of linked parts: spans equal the plain ones, and four times the matches take about four times the time."""
+    took = {}
+    for n in (8_000, 32_000):
+        rows = [(1, " ".join(f"{i:020x}" for i in range(n))), (2, " ".join(f"user=bob{i} password=abc{i:03d}" for i in range(n // 4)))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").persist()
+        df.count()
+        began = time.perf_counter()
+        out = {r.doc_id: r for r in secrets.find_secrets(df).collect()}
+        masked = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+        took[n] = time.perf_counter() - began
+        assert sorted((s["start"], s["kind"], s["end"]) for s in out[1].strong) == brute.base_spans(rows[0][1])
+        assert masked[1] == " ".join(["[SECRET]"] * n)
+        kinds = [secrets.KINDS[s["kind"]] for s in out[2].linked]
+        assert kinds.count("login") == n // 4 and "user=" not in masked[2] and "bob" not in masked[2]
+        df.unpersist()
+    assert took[32_000] < 10 * took[8_000]
+
+
+def test_masking_of_overlaps(spark):
+    """Against a plain version: sorted spans of any kind, overlapping, at both ends, over the borders of slices."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(30):
+        text = "".join(rng.choice("abcé😀 \n") for _ in range(rng.choice([5, 2047, 2048, 2049, 6000])))
+        spans = sorted((a, min(len(text), a + rng.randrange(1, 900)), 0) for a in (rng.randrange(len(text)) for _ in range(rng.randrange(1, 8))))
+        rows.append((n, text, spans))
+    df = spark.createDataFrame(rows, f"doc_id long, text string, spans array<{secrets.SPAN}>")
+    got = {r.doc_id: r.t for r in df.select("doc_id", secrets.masked(F.col("text"), F.col("spans"), "#").alias("t")).collect()}
+    for n, text, spans in rows:
+        out, at = "", 0
+        for a, b, _ in spans:
+            if a >= at:
+                out += text[at:a] + "#"
+            at = max(at, b)
+        assert got[n] == out + text[at:]
+
+
 ITEMS = [(1, "The quick brown fox a dog and more words follow it here"), (2, "quick brown"), (3, None), (4, ""), (5, "lorem ipsum dolor sit amet lorem ipsum dolor sit amet lorem"), (5, "fox a dog"), (None, "istanbul"), (10, "ÉÑ")]
 
 
@@ -151,22 +190,6 @@ def decontaminated(df, items):
     return sorted((str(r.doc_id), r.n_words, r.n_hit, list(r.items)) for r in decontam.decontaminate(df, items).collect())
 
 
-def _similar(rows):
-    """doc_id -> smallest doc_id by all pairs: 3 bits of the fingerprints, or Jaccard similarity 0.8 of five-word shingles."""
-    def grams(text):
-        w = (text or "").encode().lower().split()
-        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-
-    known = [(i, brute.simhash(t), grams(t)) for i, t in rows]
-    comp = {i: i for i, _ in rows}
-    for n, (i, f, g) in enumerate(known):
-        for j, e, h in known[:n]:
-            if (f ^ e).bit_count() <= 3 or (g and h and 5 * len(g & h) >= 4 * len(g | h)):
-                x, y = comp[i], comp[j]
-                comp = {k: min(x, y) if c in (x, y) else c for k, c in comp.items()}
-    return comp
-
-
 def test_similar_documents_equal_all_pairs(spark, docs, edge, empty):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(5000)}" for _ in range(n)] for n in (12, 40, 40, 90, 300)]
@@ -179,10 +202,10 @@ def test_similar_documents_equal_all_pairs(spark, docs, edge, empty):
     line = "one line that a lot of other texts have as well"
     rows += [(300 + n, f"{line} " + " ".join(f"v{n}_{k}" for k in range(rng.randrange(12)))) for n in range(30)]
     got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = _similar(rows)
+    want = brute.similar(rows)
     assert got == want and want != brute.components([(i, brute.simhash(t)) for i, t in rows])
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert {r.doc_id for r in simhash.keep_one(docs, simhash.similar_documents).collect()} == set(_similar(rows).values())
+    assert {r.doc_id for r in simhash.keep_one(docs, simhash.similar_documents).collect()} == set(brute.similar(rows).values())
     assert simhash.keep_one(edge, simhash.similar_documents).count() == simhash.keep_one(edge).count() and simhash.similar_documents(empty).count() == 0
 
 
@@ -238,6 +261,81 @@ def test_packing_round_trip(docs, edge, edge_rows, empty):
         packing.pack(empty, BPE, capacity=1000)
 
 
+def test_classes_fill_their_bins():
+    """Each bin of class k has k documents whole, but for what its room was filled with; about one document a bin is cut."""
+    rng = np.random.default_rng(1)
+    sizes = [int(n) for n in np.concatenate([rng.integers(1, 700, 3000), rng.integers(1, 9000, 300), [2048, 2049, 4096, 1, 1024, 1025]])]
+    rng.shuffle(sizes)
+    bins, out = packing.Bins(2048, 0), []
+    for i, n in enumerate(sizes):
+        out += bins.add(i, np.full(n, i, "<u4").tobytes())
+        assert all(len(v) < k and all(2048 // (len(p[2]) // 4) == k for p in v) for k, v in bins.open.items())
+    filled = max(p[5] for p in out) + 1
+    by: dict[int, list] = {}
+    for p in out:
+        by.setdefault(p[5], []).append(p)
+    for pieces in by.values():
+        assert sum(p[2] for p in pieces) == 2048
+        whole = [p for p in pieces if p[2] == sizes[p[0]] % 2048 and p[1] == sizes[p[0]] - p[2]]
+        if pieces[0][2] < 2048:  # the class's documents come first, the filler after them
+            k = 2048 // pieces[0][2]
+            assert len(whole) >= k and all(2048 // p[2] == k for p in pieces[:k])
+    out += bins.rest()
+    assert sum(p[2] for p in out) == sum(sizes)
+    tail: dict[int, int] = {}
+    for p in out:
+        tail[p[5]] = tail.get(p[5], 0) + p[2]
+    assert all(n & n - 1 == 0 and n <= 2048 for n in tail.values()) and sum(n < 2048 for n in tail.values()) <= 11
+    assert len(out) < len(sizes) + sum(n // 2048 for n in sizes) + 1.5 * filled
+
+
+LONG_RUNS = [" " * 1_000_000, "\n" * 1_000_000 + "x", "a" * 200_000, "x\n" + "\n" * 700 + "y" + "z9!" * 400 + " end", " " * 600 + "é" * 600 + "\x1c" * 600 + " ok", "a\n\n" + "b" * 600 + "\n  \nc", "<|endoftext|>" + " " * 2000 + "b"]
+
+
+def test_very_long_runs(spark):
+    reference, encode = Tokenizer.from_file(BPE), packing.encoder(BPE)
+    for t in LONG_RUNS:
+        assert np.frombuffer(encode(t), "<u4").tolist() == reference.encode(t, add_special_tokens=False).ids, repr(t[:20])
+    df = spark.createDataFrame(list(enumerate(LONG_RUNS)), "doc_id long, text string")
+    got = packing.pack(df, BPE).toPandas().sort_values("start").groupby("doc_id")
+    for i, g in got:
+        assert np.frombuffer(b"".join(g["ids"]), "<u4").tolist() == [*reference.encode(LONG_RUNS[i], add_special_tokens=False).ids, 1]
+
+
+def test_lower_case_of_either_kind(spark):
+    """A-Z only, by lower() and, where other capitals occur, by translate()."""
+    texts = ["ABC xyz", "ÀB É", "İI", "ǅA", "ßß ñ", "", "Σ S"]
+    got = {r.i: (r.t, r.w) for r in spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", common.ascii_lower(F.col("text")).alias("t"), F.col("text").rlike(r"[\p{javaUpperCase}\p{Lt}&&[^\x00-\x7F]]").alias("w")).collect()}
+    plain = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    assert {i: t for i, (t, _) in got.items()} == {i: t.translate(plain) for i, t in enumerate(texts)}
+    assert [w for _, w in (got[i] for i in range(len(texts)))] == [False, True, True, True, False, False, True]
+
+
+def test_prefix_joins_agree(spark, docs, monkeypatch):
+    """A common word that is an item by itself, by the broadcast and by the salted join."""
+    items = spark.createDataFrame([(1, "the"), (2, "and the"), (3, "the"), (4, "a b c d e f")], "item_id long, text string")
+    one = decontaminated(docs, items)
+    monkeypatch.setattr(decontam, "BROADCAST_PREFIXES", 0)
+    assert decontaminated(docs, items) == one and any(r[2] for r in one)
+    assert one == sorted((str(r.doc_id), *brute.overlap(r.text, [(1, "the"), (2, "and the"), (3, "the"), (4, "a b c d e f")])) for r in docs.collect())
+
+
+def test_scratch_folder_is_asked_for(spark):
+    class Conf:
+        get = staticmethod(lambda *_: None)
+
+    class Far:
+        conf, sparkContext = Conf, type("C", (), {"master": "spark://far:7077"})
+
+    with pytest.raises(ValueError):
+        common.scratch_root(Far)
+    t = common.materialize(spark.range(3), "t")
+    assert t.count() == 3
+    common.discard(t)
+    with pytest.raises(Exception):
+        spark.read.parquet(t._scratch).count()
+
+
 def test_packing_odd_white_space():
     encode = packing.encoder(BPE)
     reference = Tokenizer.from_file(BPE)
@@ -245,6 +343,42 @@ def test_packing_odd_white_space():
         assert np.frombuffer(encode(t), "<u4").tolist() == reference.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_draws_equal_a_plain_version(spark):
+    """The tree's draws by hand: arrival -ln(u) / weight, the earliest child."""
+    import math
+    import struct
+
+    import xxhash
+
+    tree = sharding.shard_tree(12, racks=2, per_rack=3, weights={1: 2.5, 4: 0.0})
+
+    def hashed(*parts):
+        h = 42
+        for p in parts:
+            raw = p.encode() if isinstance(p, str) else struct.pack("<q", p.n) if isinstance(p, Long) else None
+            h = xxhash.xxh64_intdigest(raw, h) if raw is not None else xxhash.xxh64_intdigest(struct.pack("<i", p), h)
+        return h
+
+    def draw(key, level, weights):
+        at = {c: -math.log(((hashed(*key, level, c) >> 11) + 0.5) / 2**53) / w for c, w in weights.items() if w > 0}
+        return min(at, key=at.get)
+
+    def heft(node):
+        return node if isinstance(node, float) else sum(map(heft, node.values()))
+
+    ids = list(range(0, 3000, 7))
+    got = {r[0]: tuple(r)[1:] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", *sharding.place(F.col("doc_id"), tree)).collect()}
+    for i in ids:
+        region = draw([Long(i)], "region", {r: heft(t) for r, t in tree.items()})
+        rack = draw([Long(i), region], "rack", {k: heft(t) for k, t in tree[region].items()})
+        assert got[i] == (region, rack, draw([Long(i), region, rack], "shard", tree[region][rack]))
+
+
+class Long:
+    def __init__(self, n):
+        self.n = n
+
+
 def test_sharding_law(spark, docs, edge, edge_rows, empty):
     tree = sharding.shard_tree(40)
     out = sharding.shard_documents(docs, tree, sharding.grow(tree)).toPandas()
