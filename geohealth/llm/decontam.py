@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geohealth.llm.common import ascii_lower, materialize, unused
+from geohealth.llm.common import ascii_lower, discard, materialize, unused
 
 #: A word of lower-cased text.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -148,8 +148,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     prefix = materialize(prefixes(item_windows(benchmark, 10), 5), "prefixes")
     own, th = unused(docs, "_id"), unused(docs, "_th")
-    hit = overlaps(scan(docs, prefix, 10, 5), prefix).select(F.col("doc_id").alias(own), F.col("th").alias(th)).distinct()
+    scanned = materialize(scan(docs, prefix, 10, 5), "scanned")  # whose places are worked out once
+    hit = overlaps(scanned, prefix).select(F.col("doc_id").alias(own), F.col("th").alias(th)).distinct()
     hit = materialize(hit, "hit")
+    discard(scanned)
     return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(th)), "left_anti")
 
 
