@@ -48,9 +48,9 @@ def reflectance(dn: Column, bits: Column, black: Column, gain: Column, exposure_
 
 
 def sensor_ndvi(nir: Column, red: Column) -> Column:
-    """From two reflectances: outside of [-1, 1] missing, scaled, a 16-bit integer."""
+    """From two reflectances: outside of [-1, 1] missing, scaled, a 16-bit integer (halves go to the even one)."""
     ratio = F.try_divide(nir - red, nir + red)
-    return F.when(ratio.between(-1.0, 1.0), F.round(ratio * INDEX_SCALE).cast("smallint"))
+    return F.when(ratio.between(-1.0, 1.0), F.bround(ratio * INDEX_SCALE).cast("smallint"))
 
 
 def vignette(x: Column, y: Column, cx: Column, cy: Column, k: list[Column]) -> Column:

@@ -15,31 +15,26 @@ def class_breaks(df: DataFrame, value: str = "value") -> DataFrame:
     return bounds.select("least", "most", ((F.col("most") - F.col("least")) / CLASSES).alias("step"), decimals.alias("decimals"))
 
 
-def _breaks(df: DataFrame, value: str) -> tuple[float | None, float | None, int]:
-    row = class_breaks(df, value).first()
-    return row["least"], row["step"], row["decimals"]
-
-
 def adaptive_round(df: DataFrame, value: str = "value") -> DataFrame:
-    """value rounded half up to the table's decimals."""
-    return df.withColumn(value, F.round(value, _breaks(df, value)[2]))
+    """value rounded half up to the table's decimals, which join as one row."""
+    one = class_breaks(df, value).select(F.col("decimals").alias("_d"))
+    rounded = F.when(F.col("_d") == 4, F.round(value, 4)).otherwise(F.round(value, 2))
+    return df.join(F.broadcast(one)).withColumn(value, rounded).drop("_d")
 
 
 def equal_interval_class(df: DataFrame, value: str = "value") -> DataFrame:
-    """class 1 to 5 and its label; a class holds its lower break. NULL values have neither."""
-    least, step, decimals = _breaks(df, value)
-    v = F.col(value)
-    if least is None:
-        return df.withColumn("class", F.lit(None).cast("int")).withColumn("label", F.lit(None).cast("string"))
-    at = [F.round(F.lit(least) + F.lit(step) * k, decimals) for k in range(1, CLASSES)]
-    kind: Column = F.lit(CLASSES)
-    for k in range(CLASSES - 1, 0, -1):
-        kind = F.when(v < at[k - 1], F.lit(k)).otherwise(kind)
-    shown = [F.format_string(f"%.{decimals}f", a) for a in at]
-    label = F.when(kind == 1, F.concat(F.lit("Lower than "), shown[0])).when(kind == CLASSES, F.concat(F.lit("Greater than "), shown[-1]))
-    for k in range(2, CLASSES):
-        label = label.when(kind == k, F.concat(F.lit("Between "), shown[k - 2], F.lit(" and "), shown[k - 1]))
-    return df.withColumn("class", F.when(v.isNotNull(), kind)).withColumn("label", F.when(v.isNotNull(), label))
+    """class 1 to 5 and its label; a class holds its lower break. NULL values have neither. The breaks join as one row."""
+    exact = [F.col("least") + F.col("step") * k for k in range(1, CLASSES)]
+    fine = F.col("decimals") == 4
+    at = F.array(*[F.when(fine, F.round(a, 4)).otherwise(F.round(a, 2)) for a in exact]).alias("_at")
+    one = class_breaks(df, value).select(at, fine.alias("_fine")).select(
+        "_at", F.when(F.col("_fine"), F.transform("_at", lambda a: F.format_string("%.4f", a))).otherwise(F.transform("_at", lambda a: F.format_string("%.2f", a))).alias("_shown"))
+    v, joined = F.col(value), df.join(F.broadcast(one))
+    kind = (F.size(F.filter("_at", lambda a: v >= a)) + 1).cast("int")
+    shown = lambda k: F.element_at("_shown", k)
+    label = F.when(kind == 1, F.concat(F.lit("Lower than "), shown(1))).when(kind == CLASSES, F.concat(F.lit("Greater than "), shown(-1)))
+    label = label.otherwise(F.concat(F.lit("Between "), F.get("_shown", kind - 2), F.lit(" and "), F.get("_shown", kind - 1)))
+    return joined.withColumn("class", F.when(v.isNotNull(), kind)).withColumn("label", F.when(v.isNotNull(), label)).drop("_at", "_shown")
 
 
 def _palette(palette: list[tuple[float, str]]) -> Column:

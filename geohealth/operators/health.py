@@ -8,7 +8,13 @@ from pyspark.sql.window import Window
 
 from geohealth.functions import calendar as cal
 
-CANONICAL = ["code", "name", "uf", "data_source", "name_indicator", "number", "start_date", "end_date", "time_agg", "spatial_agg", "value"]
+CANONICAL = ["code", "name", "uf", "data_source", "name_indicator", "number", "start_date", "end_date", "time_agg", "spatial_agg", "value", "geometry"]
+#: Rings of a zone: array of arrays of points.
+GEOMETRY = "array<array<struct<x:double,y:double>>>"
+
+
+class UnknownIndicator(ValueError):
+    """An indicator that the provider's registry doesn't list."""
 
 
 class MissingCombination(ValueError):
@@ -38,15 +44,24 @@ def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def attach_indicator(df: DataFrame, registry: DataFrame, provider: str) -> DataFrame:
-    """Title and provider of each indicator, from the registry's rows of the provider."""
-    mine = registry.where(F.col("provider") == provider).select(F.col("id").alias("indicator"), "title", "provider")
+    """Title and provider of each indicator, with the provider's url and country where the registry has them."""
+    more = [c for c in ("url", "country") if c in registry.columns]
+    mine = registry.where(F.col("provider") == provider).select(F.col("id").alias("indicator"), "title", "provider", *more)
     return df.join(mine, "indicator")
 
 
+def require_indicators(registry: DataFrame, provider: str, ids: list[str]) -> None:
+    """Raise UnknownIndicator for an id that the provider doesn't have. The registry is small, and only these ids come back."""
+    known = {r[0] for r in registry.where((F.col("provider") == provider) & F.col("id").isin(ids)).select("id").distinct().collect()}
+    if lost := [i for i in ids if i not in known]:
+        raise UnknownIndicator(f"{provider} has no {lost}")
+
+
 def refresh_zones(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The old layer with name and uf of the new one where it has them."""
-    n = new.select("zone_id", F.col("name").alias("_name"), F.col("uf").alias("_uf"))
-    return old.join(n, "zone_id", "left").select("zone_id", F.coalesce("_name", "name").alias("name"), F.coalesce("_uf", "uf").alias("uf"))
+    """The old layer with name, uf and rings of the new one where it has them."""
+    fields = [c for c in ("name", "uf", "rings") if c in old.columns]
+    n = new.select("zone_id", *[F.col(c).alias("_" + c) for c in fields if c in new.columns])
+    return old.join(n, "zone_id", "left").select("zone_id", *[(F.coalesce("_" + c, c) if c in new.columns else F.col(c)).alias(c) for c in fields])
 
 
 def standard_dates(df: DataFrame, calendar: DataFrame, date: str = "date", agg_time: str = "agg_time") -> DataFrame:
@@ -67,11 +82,13 @@ def standard_dates(df: DataFrame, calendar: DataFrame, date: str = "date", agg_t
 def standardize(df: DataFrame) -> DataFrame:
     """The canonical columns, in order; codes that are no numbers become NULL; columns that are missing are NULL."""
     code = F.col("code").cast("string").try_cast("bigint")
-    return df.select(*[code.alias("code") if c == "code" else F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in CANONICAL])
+    return df.select(*[code.alias("code") if c == "code" else F.col(c) if c in df.columns else F.lit(None).cast(GEOMETRY if c == "geometry" else "string").alias(c) for c in CANONICAL])
 
 
-def describe(df: DataFrame, source: str, indicator: str, time_agg: str, spatial_agg: str) -> DataFrame:
-    """Constant descriptions; mun is written out."""
+def describe(df: DataFrame, source: str, indicator: str, time_agg: str, spatial_agg: str, start: str | None = None) -> DataFrame:
+    """Constant descriptions; mun is written out. With the name of a start column also number and start_date of the period."""
+    if start is not None:
+        df = df.withColumn("number", cal.period_number(F.col(start), time_agg)).withColumn("start_date", F.col(start))
     spatial = "municipality" if spatial_agg == "mun" else spatial_agg
     values = {"data_source": source, "name_indicator": indicator, "time_agg": time_agg, "spatial_agg": spatial}
     return df.withColumns({k: F.lit(v) for k, v in values.items()})

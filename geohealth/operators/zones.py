@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geohealth.functions import geodesy
+
 #: A long edge is split so that its box never spans more cells than this in either direction.
 EDGE_CELLS = 64
 
@@ -82,6 +84,11 @@ def extent(zones: DataFrame) -> DataFrame:
     return p.agg(F.min("p.x").alias("xmin"), F.min("p.y").alias("ymin"), F.max("p.x").alias("xmax"), F.max("p.y").alias("ymax"))
 
 
+def envelope(zones: DataFrame) -> DataFrame:
+    """The extent and, as footprint, its closed box as GeoJSON."""
+    return extent(zones).withColumn("footprint", geodesy.box_geojson(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]))
+
+
 def snap_to_grid(df: DataFrame, grid: Grid, x: str = "lon", y: str = "lat") -> DataFrame:
     """Cell numbers i, j of points."""
     return df.withColumn("i", _cell(F.col(x), grid.x0, grid.r)).withColumn("j", _cell(F.col(y), grid.y0, grid.r))
@@ -100,17 +107,37 @@ def cell_period_stats(cells: DataFrame, stats: list[str]) -> DataFrame:
     return cells.groupBy("period_start", "i", "j").agg(*[STATS[s]("value").alias(s) for s in stats])
 
 
-def zonal_stats(surface: DataFrame, members: DataFrame, stat: str, value: str = "value", by: list[str] | None = None) -> DataFrame:
-    """zone_id (and the columns in `by`) with the statistic over the zone's cells; a zone without any value has NULL if `by` is empty."""
+def every_zone(stats: DataFrame, layer: DataFrame, by: list[str]) -> DataFrame:
+    """stats with a row for each zone of the layer and each of the combinations of `by` that occur; NULL where there were no cells.
+
+    The timeline of combinations is small beside the data. It is put into one row, so each zone spreads it in place.
+    """
+    zones = layer.select("zone_id").distinct()
+    if by:
+        line = stats.select(*by).distinct().agg(F.collect_list(F.struct(*by)).alias("_line"))  # one row
+        zones = zones.join(F.broadcast(line)).withColumn("_at", F.explode("_line")).select("zone_id", "_at.*")
+    return zones.join(stats, ["zone_id", *by], "left")
+
+
+def zonal_stats(surface: DataFrame, members: DataFrame, stat: str, value: str = "value", by: list[str] | None = None, layer: DataFrame | None = None) -> DataFrame:
+    """zone_id (and the columns in `by`) with the statistic over the zone's cells; a zone without any value has NULL if `by` is empty.
+
+    With a layer every zone of it has a row, in each combination of `by` too, also if it has no member cells.
+    """
     keys = ["zone_id", *(by or [])]
     joined = members.join(surface, ["i", "j"], "inner" if by else "left")
-    return joined.groupBy(*keys).agg(STATS[stat](value).alias(stat))
+    out = joined.groupBy(*keys).agg(STATS[stat](value).alias(stat))
+    return out if layer is None else every_zone(out, layer, by or [])
+
 
+def period_indicator(cells: DataFrame, members: DataFrame, stats: list[str], layer: DataFrame | None = None) -> DataFrame:
+    """zone_id, period_start and the two-level statistics: zone maximum of cell maxima, zone mean of cell means, and so on.
 
-def period_indicator(cells: DataFrame, members: DataFrame, stats: list[str]) -> DataFrame:
-    """zone_id, period_start and the two-level statistics: zone maximum of cell maxima, zone mean of cell means, and so on."""
+    With a layer every zone of it has a row in every period, NULL where it has no valid cell.
+    """
     surface = cell_period_stats(cells, stats)
-    return surface.join(members, ["i", "j"]).groupBy("zone_id", "period_start").agg(*[STATS[s](s).alias(s) for s in stats])
+    out = surface.join(members, ["i", "j"]).groupBy("zone_id", "period_start").agg(*[STATS[s](s).alias(s) for s in stats])
+    return out if layer is None else every_zone(out, layer, ["period_start"])
 
 
 def daily_zone_max(cells: DataFrame, members: DataFrame) -> DataFrame:

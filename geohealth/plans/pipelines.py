@@ -10,13 +10,17 @@ from geohealth.functions import physics
 from geohealth.operators import calendar, classify, climate, health, imagery, zones
 from geohealth.operators.zones import Grid
 
+#: The families' names.
 FAMILIES = ("temp_era5land", "precip_era5land", "anomaly_era5land", "humidity_era5land", "temp_cptec", "precip_cptec")
 
 
 def climate_indicator(family: str, period: str, cells: DataFrame, layer: DataFrame, grid: Grid, years: list[int], stats: list[str] | None = None,
-                      dewpoint: DataFrame | None = None, normals: DataFrame | None = None, all_touched: bool = True) -> DataFrame:
+                      dewpoint: DataFrame | None = None, normals: DataFrame | None = None, all_touched: bool = True, intervals: DataFrame | None = None, source: str | None = None) -> DataFrame:
     """zone_id, period_start, number and the family's columns, by zone and period.
 
+    intervals (start_date, end_date, number) is a custom calendar that takes the period's place; days in none of its
+    intervals are left out. With a source the rows have descriptions too.
+
     cells: day, i, j, value in the provider's units (K and m for era5land). humidity takes dewpoint, anomaly takes
     normals (zone_id, month, normal).
     """
@@ -24,23 +28,37 @@ def climate_indicator(family: str, period: str, cells: DataFrame, layer: DataFra
         raise ValueError(f"unknown family: {family}")
     start = lambda d: cal.period_start(d, period)
     era = family.endswith("era5land")
+    if intervals is not None:
+        # each day's interval, as a map of one small row: a calendar has a row an interval
+        spread = intervals.select(F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias("_d"), "start_date")
+        dated = lambda df: df.join(spread, df["day"] == F.col("_d")).drop("_d")
 
     def prepared(df: DataFrame) -> DataFrame:
         value = physics.clean_nodata(F.col("value"))
         if era:
             value = physics.m_to_mm(value) if family.startswith("precip") else physics.kelvin_to_c(value)
+        if intervals is not None:
+            return df.where(F.year("day").isin(years)).select("day", "i", "j", value.alias("value"))
         own = calendar.filter_years(df, years, period).select("day", "i", "j", value.alias("value"))
         number = cal.epi_year(F.col("day")) if period == "epiweek" else F.year("day")
         return own.where(number.isin(years))
 
     members = zones.zone_cells(layer, grid, all_touched)
+    if intervals is not None:
+        if family.startswith(("anomaly", "humidity")):
+            raise ValueError("a custom calendar goes with temperature and precipitation")
+        placed = dated(prepared(cells)).withColumnRenamed("start_date", "period_start")
+        out = zones.period_indicator(placed, members, stats or list(zones.STATS), layer)
+        out = out.join(intervals.select(F.col("start_date").alias("period_start"), "number"), "period_start")
+        return out if source is None else health.describe(out, source, family, "custom", "mun")
     if family.startswith("anomaly"):
         out = climate.anomaly_indicator(prepared(cells), members, normals, start)
     elif family.startswith("humidity"):
         out = climate.humidity_indicator(prepared(cells), prepared(dewpoint), members, start)
     else:
-        out = zones.period_indicator(prepared(cells).withColumn("period_start", start(F.col("day"))), members, stats or list(zones.STATS))
-    return out.withColumn("number", cal.period_number(F.col("period_start"), period))
+        out = zones.period_indicator(prepared(cells).withColumn("period_start", start(F.col("day"))), members, stats or list(zones.STATS), layer)
+    out = out.withColumn("number", cal.period_number(F.col("period_start"), period))
+    return out if source is None else health.describe(out, source, family, period, "mun")
 
 
 def health_indicator(df: DataFrame, spatial: list[str], temporal: list[str], layer: DataFrame, epi: DataFrame, registry: DataFrame, provider: str, region: DataFrame | None = None) -> DataFrame:
@@ -54,15 +72,22 @@ def health_indicator(df: DataFrame, spatial: list[str], temporal: list[str], lay
     kinds = dict.fromkeys("epiweek" if t == "week" else t for t in temporal)
     ends = health.union_all([calendar.period_end(line.where(F.col("agg_time") == k), k, "start_date") for k in kinds])
     out = rows.join(ends.withColumnRenamed("period_end", "end_date"), ["agg_time", "start_date"])
-    return health.standardize(out.withColumnsRenamed({"title": "name_indicator", "provider": "data_source", "agg": "spatial_agg", "agg_time": "time_agg"}))
+    return health.standardize(out.withColumnsRenamed({"title": "name_indicator", "provider": "data_source", "agg": "spatial_agg", "agg_time": "time_agg", "rings": "geometry"}))
+
 
+def drone_catalogue(images: DataFrame, done: DataFrame, collections: DataFrame, pixels: DataFrame | None = None, cells: DataFrame | None = None, zone_of: DataFrame | None = None, paths: DataFrame | None = None) -> DataFrame:
+    """Items that aren't published yet, with ground distance, footprint, box, collection and band statistics.
 
-def drone_catalogue(images: DataFrame, done: DataFrame, collections: DataFrame, pixels: DataFrame | None = None) -> DataFrame:
-    """Items that aren't published yet, with ground distance, footprint, box, collection and band statistics."""
+    With cells (zone_id, i, j) and zone_of (zone_id, tz) they have their UTC time, with paths the assets of their name.
+    """
     new = imagery.pending(images, done)
     gsd = physics.gsd_m(F.col("flight_height_m"), F.col("sensor_width_mm"), F.col("width"), F.col("focal_mm"))
     placed = imagery.bbox_wgs84(imagery.image_footprint(new.withColumn("gsd_m", gsd).withColumn("gsd_cm", gsd * 100)))
     items = imagery.attach_collection(placed, collections)
+    if cells is not None:
+        items = imagery.to_utc(items, cells, zone_of)
+    if paths is not None:
+        items = items.join(imagery.build_items(paths).select("item", "assets"), "item", "left")
     if pixels is None:
         return items
     stats = imagery.band_stats(pixels).groupBy("image").agg(F.array_sort(F.collect_list(F.struct("band", "least", "most", "mean", "spread"))).alias("bands"))

@@ -106,7 +106,8 @@ def anomaly_indicator(spark, d):
 
 
 @query("climate_layer", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, s AS (SELECT CAST(date_trunc('month', day) AS DATE) AS period_start, i, j, max(value) - 273.15 AS hi, min(value) - 273.15 AS lo, avg(value) - 273.15 AS mid FROM cells WHERE year(day) = 2024 GROUP BY ALL)
-SELECT zone_id, period_start, CAST(month(period_start) AS INTEGER) AS number, {v.sql_r4('max(hi)')} AS max, {v.sql_r4('min(lo)')} AS min, {v.sql_r4('avg(mid)')} AS mean FROM members JOIN s USING (i, j) GROUP BY ALL""")
+SELECT CAST(n_nationkey AS BIGINT) AS zone_id, line.period_start, CAST(month(line.period_start) AS INTEGER) AS number, x.max, x.min, x.mean FROM nation CROSS JOIN (SELECT DISTINCT period_start FROM members JOIN s USING (i, j)) line
+LEFT JOIN (SELECT zone_id, period_start, {v.sql_r4('max(hi)')} AS max, {v.sql_r4('min(lo)')} AS min, {v.sql_r4('avg(mid)')} AS mean FROM members JOIN s USING (i, j) GROUP BY ALL) x ON x.zone_id = n_nationkey AND x.period_start = line.period_start""")
 def climate_layer(spark, d):
     """The whole pipeline of one family."""
     got = pipelines.climate_indicator("temp_era5land", "month", v.cells(spark, d).select("day", "i", "j", "value"), v.zones(spark, d), v.GRID, [2024])

@@ -57,11 +57,16 @@ def indicator_registry(spark, d):
     return ops.attach_indicator(_tagged(spark, d), _registry(spark, d), "p0").select("o_orderkey", "indicator", "title", "provider")
 
 
-@query("vintage_refresh", "SELECT CAST(n_nationkey AS BIGINT) AS zone_id, CASE WHEN n_nationkey % 3 = 0 THEN 'new ' || n_name ELSE n_name END AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'N' || n_regionkey ELSE 'R' || n_regionkey END AS uf FROM nation")
+def _west(rings: str):
+    return F.array_min(F.transform(F.flatten(rings), lambda p: p["x"]))
+
+
+@query("vintage_refresh", f"WITH {v.SQL_ZONES}, west AS (SELECT zone_id, min(x) AS x FROM corners GROUP BY zone_id) SELECT CAST(n_nationkey AS BIGINT) AS zone_id, x + CASE WHEN n_nationkey % 3 = 0 THEN 1 ELSE 0 END AS west, CASE WHEN n_nationkey % 3 = 0 THEN 'new ' || n_name ELSE n_name END AS name, CASE WHEN n_nationkey % 3 = 0 THEN 'N' || n_regionkey ELSE 'R' || n_regionkey END AS uf FROM nation JOIN west ON zone_id = n_nationkey")
 def vintage_refresh(spark, d):
     old = v.zones(spark, d)
-    new = old.where("zone_id % 3 = 0").select("zone_id", F.concat(F.lit("new "), "name").alias("name"), F.replace("uf", F.lit("R"), F.lit("N")).alias("uf"))
-    return ops.refresh_zones(old, new)
+    new = old.where("zone_id % 3 = 0").select("zone_id", F.concat(F.lit("new "), "name").alias("name"), F.replace("uf", F.lit("R"), F.lit("N")).alias("uf"),
+                                            F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 1).alias("x"), p["y"].alias("y")))).alias("rings"))
+    return ops.refresh_zones(old, new).select("zone_id", "name", "uf", _west("rings").alias("west"))
 
 
 _SQL_BREAKS = "breaks AS (SELECT min(value) AS least, max(value) AS most, (max(value) - min(value)) / 5 AS step FROM cases)"
@@ -115,16 +120,17 @@ def wide_to_long(spark, d):
     return ops.periods_to_long(long_to_wide(spark, d), "code")
 
 
-@query("health_layer", f"""WITH {_SQL_TAG}, {_SQL_REG}, r AS (SELECT TRY_CAST(cod AS BIGINT) AS code, n_name AS name, 'R' || n_regionkey AS uf, provider AS data_source, title AS name_indicator, CASE WHEN kind = 'month' THEN 'month' ELSE 'epiweek' END AS time_agg, agg AS spatial_agg, day, value
+@query("health_layer", f"""WITH {_SQL_TAG}, {_SQL_REG}, {v.SQL_ZONES}, r AS (SELECT TRY_CAST(cod AS BIGINT) AS code, n_name AS name, 'R' || n_regionkey AS uf, provider AS data_source, title AS name_indicator, CASE WHEN kind = 'month' THEN 'month' ELSE 'epiweek' END AS time_agg, agg AS spatial_agg, day, value
   FROM tagged JOIN reg ON reg.id = indicator AND provider = 'p0' JOIN nation ON n_nationkey = TRY_CAST(cod AS BIGINT) WHERE agg = 'municipality'),
 s AS (SELECT *, CASE WHEN time_agg = 'month' THEN CAST(date_trunc('month', day) AS DATE) ELSE day END AS start_date FROM r),
 line AS (SELECT time_agg, start_date, lead(start_date) OVER (PARTITION BY time_agg ORDER BY start_date) AS nxt FROM (SELECT DISTINCT time_agg, start_date FROM s))
 SELECT code, name, uf, data_source, name_indicator, CASE WHEN time_agg = 'month' THEN CAST(month(start_date) AS INTEGER) ELSE {v.sql_epi_week('start_date')} END AS number, start_date,
-  CAST(coalesce(nxt - 1, CASE WHEN time_agg = 'month' THEN CAST(start_date + INTERVAL 1 MONTH AS DATE) - 1 ELSE start_date END) AS DATE) AS end_date, time_agg, spatial_agg, value FROM s JOIN line USING (time_agg, start_date)""")
+  CAST(coalesce(nxt - 1, CASE WHEN time_agg = 'month' THEN CAST(start_date + INTERVAL 1 MONTH AS DATE) - 1 ELSE start_date END) AS DATE) AS end_date, time_agg, spatial_agg, value, CAST(5 AS INTEGER) AS corners, west FROM s JOIN line USING (time_agg, start_date) JOIN (SELECT zone_id, min(x) AS west FROM corners GROUP BY zone_id) ON zone_id = code""")
 def health_layer(spark, d):
     """The whole pipeline over two kinds of periods."""
     epi = calops.epi_calendar(spark, list(range(1995, 2002)))
-    return pipelines.health_indicator(_tagged(spark, d), ["municipality"], ["week", "month"], v.zones(spark, d), epi, _registry(spark, d), "p0")
+    got = pipelines.health_indicator(_tagged(spark, d), ["municipality"], ["week", "month"], v.zones(spark, d), epi, _registry(spark, d), "p0")
+    return got.withColumn("corners", F.size(F.flatten("geometry"))).withColumn("west", _west("geometry")).drop("geometry")
 
 
 def _loose(spark, d):

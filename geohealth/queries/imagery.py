@@ -40,7 +40,7 @@ def reflectance(spark, d):
     return _bands(spark, d).select(*_KEYS, v.r4(_reflectance(F.col("red"))).alias("value"))
 
 
-@query("sensor_ndvi", f"WITH {_SQL_BANDS}, r AS (SELECT l_orderkey, l_linenumber, {_SQL_REF.format('nir')} AS n, {_SQL_REF.format('red')} AS r FROM bands) SELECT l_orderkey, l_linenumber, CAST(CASE WHEN n + r <> 0 AND (n - r) / (n + r) BETWEEN -1 AND 1 THEN round((n - r) / (n + r) * 10000) END AS SMALLINT) AS ndvi FROM r")
+@query("sensor_ndvi", f"WITH {_SQL_BANDS}, r AS (SELECT l_orderkey, l_linenumber, {_SQL_REF.format('nir')} AS n, {_SQL_REF.format('red')} AS r FROM bands) SELECT l_orderkey, l_linenumber, CAST(CASE WHEN n + r <> 0 AND (n - r) / (n + r) BETWEEN -1 AND 1 THEN round_even((n - r) / (n + r) * 10000, 0) END AS SMALLINT) AS ndvi FROM r")
 def sensor_ndvi(spark, d):
     return _bands(spark, d).select(*_KEYS, physics.sensor_ndvi(_reflectance(F.col("nir")), _reflectance(F.col("red"))).alias("ndvi"))
 

@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from geohealth.queries import calendar, climate, health, imagery, incremental, text, zones  # noqa: E402, F401
+from geohealth.queries import calendar, climate, health, imagery, incremental, roundtrips, text, zones  # noqa: E402, F401

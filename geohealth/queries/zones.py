@@ -47,6 +47,16 @@ def two_level_indicator(spark, d):
     return got.withColumn("mean", v.r4(F.col("mean")))
 
 
+@query("zones_without_cells", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, s AS (SELECT CAST(date_trunc('month', day) AS DATE) AS period_start, i, j, max(value) AS hi FROM cells WHERE i < 6 GROUP BY ALL),
+m AS (SELECT * FROM members WHERE zone_id <> 7), line AS (SELECT DISTINCT period_start FROM m JOIN s USING (i, j))
+SELECT CAST(n_nationkey AS BIGINT) AS zone_id, period_start, x.max FROM nation CROSS JOIN line LEFT JOIN (SELECT zone_id, period_start, max(hi) AS max FROM m JOIN s USING (i, j) GROUP BY ALL) x ON x.zone_id = n_nationkey AND x.period_start = line.period_start""".replace("period_start, x.max", "line.period_start, x.max"))
+def zones_without_cells(spark, d):
+    """Zones without valid or member cells keep a row in every period."""
+    cells = v.cells(spark, d).where("i < 6").withColumn("period_start", F.trunc("day", "month"))
+    members = ops.zone_cells(v.zones(spark, d), v.GRID).where("zone_id <> 7")
+    return ops.period_indicator(cells, members, ["max"], v.zones(spark, d))
+
+
 @query("daily_zone_max", f"WITH {v.SQL_CELLS}, {v.SQL_ZONES} SELECT zone_id, day, max(value) AS value FROM members JOIN cells USING (i, j) GROUP BY ALL")
 def daily_zone_max(spark, d):
     return ops.daily_zone_max(v.cells(spark, d), ops.zone_cells(v.zones(spark, d), v.GRID))
@@ -57,6 +67,14 @@ def extent(spark, d):
     return ops.extent(v.zones(spark, d))
 
 
+@query("envelope", f"WITH {v.SQL_ZONES} SELECT 'Polygon' AS kind, min(x) AS west, max(y) AS north, CAST(5 AS INTEGER) AS points FROM corners")
+def envelope(spark, d):
+    """The footprint read back: its kind, two of its sides, and its closed ring."""
+    ring = F.from_json(F.get_json_object("footprint", "$.coordinates"), "array<array<array<double>>>")[0]
+    got = ops.envelope(v.zones(spark, d)).withColumn("ring", ring)
+    return got.select(F.get_json_object("footprint", "$.type").alias("kind"), F.col("ring")[0][0].alias("west"), F.col("ring")[2][1].alias("north"), F.size("ring").alias("points"))
+
+
 @query("bbox_filter", f"WITH {v.SQL_STATIONS} SELECT code, lon, lat FROM stations WHERE lon >= 2.25 AND lon <= 9.25 AND lat >= 1.5 AND lat <= 4.5")
 def bbox_filter(spark, d):
     return ops.within_bbox(v.stations(spark, d), 2.25, 1.5, 9.25, 4.5).select("code", "lon", "lat")

@@ -93,11 +93,20 @@ def read_cells(spark: SparkSession, path: str, variable: str, years: list[int],
     """day, i, j, value of a variable's partitions; only those of the years (and the weeks' lookback) are read."""
     df = spark.read.parquet(path)
     pruned = df.where((F.col("variable") == variable) & F.col("year").between(min(years) - 1, max(years)))
-    if pruned.isEmpty() and df.where(F.col("variable") == variable).isEmpty():
+    if df.select("variable").where(F.col("variable") == variable).limit(1).isEmpty():  # of a partition column: one file's footer
         raise ValueError(f"no such variable: {variable}")
     return filter_years(pruned, years, period).select("day", "i", "j", "value")
 
 
+REGISTRY = "map<string,struct<name:string,url:string,country:string,indicators:array<struct<id:string,name:string,title:string,disease:string,description:string,field_name:string>>>>"
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """provider, url, country and an indicator's id, title and field of a JSON file: provider -> its indicators."""
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", REGISTRY)).alias("provider", "p"))
+    return whole.select("provider", "p.url", "p.country", F.explode("p.indicators").alias("i")).select("provider", "url", "country", "i.id", "i.title", "i.field_name")
+
+
 ZONES = "type string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
 
 

@@ -12,7 +12,7 @@ import sys
 class Absent:
     def find_spec(self, name, path=None, target=None):
         if name == "corpus_pipeline" or name.startswith("geohealth.llm"):
-            raise ModuleNotFoundError(name)
+            raise ModuleNotFoundError(name, name="corpus_pipeline" if name == "corpus_pipeline" else "geohealth.llm")
 sys.meta_path.insert(0, Absent())
 import __spark_entry__ as e
 assert set(e.queries()) == set(e.oracle_sql()) and not any(n == "pipeline" or n.startswith("op") for n in e.queries())
