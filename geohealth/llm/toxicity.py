@@ -15,7 +15,7 @@ from geohealth.llm.common import crc_bucket, labelled_sample
 #: ASCII but digits and letters to spaces; bytes beyond ASCII belong to words.
 APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Words of a window and the step to the next; at most so many labelled rows are learned from.
-WINDOW, STEP, SAMPLE = 40, 20, 4000
+WINDOW, STEP, SAMPLE = 40, 20, 2500
 #: Learned vectors: of hashed words and of hashed runs of CHARS characters, and the rate at which they learn.
 CHARS, WORD_SLOTS, CHAR_SLOTS, WIDTH, RATE = 5, 1 << 16, 1 << 15, 8, 0.002
 #: Character n-grams of the evidence, its slots; inputs of a word (two vectors and its evidence), states of a direction.
@@ -211,11 +211,10 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
     neighbours count. The network's weights are running means of the last steps.
     """
     rng = np.random.default_rng(seed)
-    docs, labels = [tokens(t) for t, _ in rows], np.array([y for _, y in rows], dtype=np.int64)
-    number: dict[bytes, int] = {}
-    ids = [np.array([number.setdefault(w, len(number)) for w in d], dtype=np.int64) for d in docs]
+    labels, number = np.array([y for _, y in rows], dtype=np.int64), Numbers()
+    ids = [np.array(list(map(number.__getitem__, tokens(t))), dtype=np.int64) for t, _ in rows]
     fold = rng.permutation(len(rows)) % FOLDS
-    words, learned_vectors = list(number), fresh_vectors(rng)
+    words, learned_vectors = number.names, fresh_vectors(rng)
     if not words or len(set(labels.tolist())) < 2:
         flat = np.zeros(SLOTS, dtype="f4")
         base = float(np.clip(labels.mean() if len(labels) else 0.0, 0.01, 0.99))
@@ -284,11 +283,17 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
                 _descend(learned_vectors.words, sums[0], spelled.whole[some] % WORD_SLOTS, dx[: len(some), :WIDTH] * keep[:, None])
                 _descend(learned_vectors.chars, sums[1], runs, spread)
     net = {k: a.astype("f4") for k, a in mean.items()}
-    x = np.concatenate([np.tile(spelled.vectors(learned_vectors, np.arange(len(words))), (FOLDS, 1)), hint[:-1, None]], axis=1)
-    proj = {d: np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"], np.zeros((1, 3 * HIDDEN), dtype="f4")]) for d in "fb"}
-    every = np.concatenate(laid_all)
-    logit = score_windows(net, proj, np.where(every == none, -1, every))
-    top = np.maximum.reduceat(logit, np.cumsum([0, *[len(w) for w in laid_all]])[:-1])
+    del order, of_word, laid, picks
+    vectors, top = spelled.vectors(learned_vectors, np.arange(len(words))), np.zeros(len(rows), dtype="f4")
+    for f in range(FOLDS):  # one fold's words at a time
+        some = np.flatnonzero(fold == f)
+        if not len(some):
+            continue
+        x = np.concatenate([vectors, hint[f * len(words) : (f + 1) * len(words), None]], axis=1)
+        proj = {d: np.concatenate([x @ net[f"W{d}"] + net[f"c{d}"], np.zeros((1, 3 * HIDDEN), dtype="f4")]) for d in "fb"}
+        every = np.concatenate([laid_all[i] for i in some])
+        logit = score_windows(net, proj, np.where(every == none, -1, every - f * len(words)))
+        top[some] = np.maximum.reduceat(logit, np.cumsum([0, *[len(laid_all[i]) for i in some]])[:-1])
     return Model(*learned(np.arange(len(rows))), learned_vectors, net, *calibrate(top, labels))
 
 
