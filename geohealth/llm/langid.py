@@ -140,10 +140,14 @@ def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMP
     `longest` characters are left to others, and texts are taken whole in turn as long as they have `chars` together.
     """
     picked = docs.where(F.col("lang").isNotNull() & (crc_bucket(F.col("doc_id"), modulus) != held_out) & (F.length("text") <= longest)).select("doc_id", "text", "lang")
-    languages = picked.select("lang").distinct().count()
+    counts = picked.groupBy("lang").agg(F.count(F.lit(1)).alias("_all"))
+    languages = counts.count()
     each = max(20, -(-rows // max(1, languages)))
-    turn = Window.partitionBy("lang").orderBy("_at", "doc_id", "_th")
-    keys = picked.select("lang", "doc_id", F.xxhash64("doc_id").alias("_at"), F.xxhash64("text").alias("_th"))
+    turn = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("_at", 11), "doc_id", "_th")
+    keys = picked.select("lang", "doc_id", F.xxhash64("text").alias("_th"))
+    # of a large language only the lowest hashes, some four times as many as are taken, meet in its window
+    low = F.shiftrightunsigned("_at", 11) / F.lit(float(2**53)) < F.lit(4.0 * each + 100) / F.col("_all")
+    keys = keys.withColumn("_at", F.xxhash64("doc_id")).join(F.broadcast(counts), "lang").where(low).drop("_all")
     ids = keys.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= each).select("doc_id", "lang", "_th", "_turn").distinct()
     found = picked.withColumn("_th", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "_th"])  # `each` rows of a language
     got, out, size = found.dropDuplicates(["doc_id", "lang", "_th", "_turn"]).orderBy("_turn", "lang").select("text", "lang").collect(), [], 0
