@@ -35,32 +35,49 @@ class Lattice:
 
     def spell(self, text: str, i: int, begins: bool = True) -> list[tuple[int, float, str]]:
         """(to, log probability, piece) of all arcs from place i of a word with its mark; piece is empty for a character as bytes."""
-        get, n, j, out = (self.later_tree if i or not begins else self.first_tree).get, len(text), i + 1, []
-        while j <= n:
-            part = text[i:j]
-            p = get(part, 1.0)
-            if p is not None:
-                if p == 1.0:
-                    break
-                out.append((j, p, part))
+        inside = i > 0 or not begins
+        tree, n, j, out = self.later_tree if inside else self.first_tree, len(text), i, []
+        while tree and j < n:
+            node = tree.get(text[j])
+            if node is None:
+                break
             j += 1
-        if (i or not begins) and not (out and out[0][0] == i + 1):
-            out.append((i + 1, sum(self.byte[b] for b in text[i].encode("utf-8", "replace")), ""))
+            p, piece, tree = node
+            if piece:
+                out.append((j, p, piece))
+        if inside and not (out and out[0][0] == i + 1):
+            out.append((i + 1, self.as_bytes(text[i]), ""))
         return out
 
+    def as_bytes(self, character: str) -> float:
+        return sum(self.byte[b] for b in character.encode("utf-8", "replace"))
+
     def forward(self, word: str) -> float:
         """ln of the sum over all segmentations of the word, its end included. Only the last few places are kept."""
         text = MARK + word
         n, ring = len(text), self.longest + 1
-        alpha: list[float] = [-math.inf] * ring
-        alpha[0] = 0.0
         exp, log1p, inf = math.exp, math.log1p, -math.inf
+        alpha: list[float] = [inf] * ring
+        alpha[0] = 0.0
+        top, later = self.first_tree, self.later_tree
         for i in range(n):
-            here = alpha[i % ring]
+            here, tree, j, single = alpha[i % ring], top, i, not i
             alpha[i % ring] = inf  # the place of i + ring
-            for j, p, _ in self.spell(text, i):
-                v, w = here + p, alpha[j % ring]
+            while tree and j < n:
+                node = tree.get(text[j])
+                if node is None:
+                    break
+                j += 1
+                p, piece, tree = node
+                if piece:
+                    single = single or j == i + 1
+                    v, w = here + p, alpha[j % ring]
+                    alpha[j % ring] = v if w == inf else w + log1p(exp(v - w)) if w > v else v + log1p(exp(w - v))
+            if not single:
+                v, j = here + self.as_bytes(text[i]), i + 1
+                w = alpha[j % ring]
                 alpha[j % ring] = v if w == inf else w + log1p(exp(v - w)) if w > v else v + log1p(exp(w - v))
+            top = later
         return alpha[n % ring] + self.stop
 
     def expect(self, word: str, count: float, counts: tuple[dict[str, float], dict[str, float]]) -> None:
@@ -99,10 +116,15 @@ class Lattice:
             beta[i] = ahead
 
 
-def _tree(pieces: dict[str, float]) -> dict[str, float | None]:
-    """Every prefix of a piece; its log probability where it is a piece itself."""
-    out: dict[str, float | None] = {p[:n]: None for p in pieces for n in range(1, len(p))}
-    return out | pieces
+def _tree(pieces: dict[str, float]) -> dict:
+    """character -> (log probability, piece, what can follow); the piece is empty where none ends."""
+    nodes: dict = {}
+    for piece, p in pieces.items():
+        at = nodes
+        for c in piece[:-1]:
+            at = at.setdefault(c, [0.0, "", {}])[2]
+        at.setdefault(piece[-1], [0.0, "", {}])[:2] = p, piece
+    return nodes
 
 
 def vocabulary(path: str) -> dict[tuple[bool, str], float]:
