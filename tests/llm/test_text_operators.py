@@ -209,6 +209,17 @@ def test_similar_documents_equal_all_pairs(spark, docs, edge, empty):
     assert simhash.keep_one(edge, simhash.similar_documents).count() == simhash.keep_one(edge).count() and simhash.similar_documents(empty).count() == 0
 
 
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 30, 400, 5000):
+        for m in (0, 3, 60):
+            x = rng.integers(-(2**63), 2**63 - 1, n)
+            y = np.unique(np.concatenate([x[: max(0, n - m)], rng.integers(-(2**63), 2**63 - 1, m)]))
+            differ = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(simhash.bitmap(np.unique(x)), simhash.bitmap(y)))
+            assert differ <= len(np.setxor1d(x, y)) and (differ or m == 0)
+    assert simhash.bitmap(simhash.shingle_set(None)) == [0, 0, 0, 0]
+
+
 def test_decontamination_edges(spark, edge, edge_rows, empty):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted((str(r[0]), *brute.overlap(r[1], [i for i in ITEMS if i[0] is not None])[:2], brute.overlap(r[1], [i for i in ITEMS if i[0] is not None])[2]) for r in edge_rows)
