@@ -67,9 +67,8 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z and nothing else. lower() does just that unless a letter beyond ASCII has another lower case; then translate() does."""
-    other = text.rlike(r"[\p{javaUpperCase}\p{Lt}&&[^\x00-\x7F]]")
-    return F.when(other, F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+    """A-Z to a-z and nothing else. lower() does just that for a text of ASCII alone; beyond it translate() does, whatever letters lower() knows."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
 def crc_bucket(doc_id: Column, modulus: int) -> Column:

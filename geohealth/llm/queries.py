@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geohealth.llm import ann, decontam, langid, lm, packing, quality, secrets, sharding, simhash, toxicity
+from geohealth.llm import ann, bestfit, collocation, decontam, langid, lm, packing, quality, secrets, sharding, simhash, toxicity, whitening
 
 QUERIES = {
     "op1_adaptive_dimension_scan": ann.run,
@@ -15,7 +15,11 @@ QUERIES = {
     "op8_hash_tree_sharding": sharding.run,
     "op9_prefix_filter_decontamination": decontam.run,
     "op10_output_codes": langid.run,
+    "op11_best_fit_packing": bestfit.run,
+    "op12_embedding_whitening": whitening.run,
+    "op13_phrase_collocation": collocation.run,
 }
 ORACLES: dict[str, str] = {
     "op9_prefix_filter_decontamination": decontam.SQL,
+    "op13_phrase_collocation": collocation.SQL,
 }
