@@ -23,7 +23,7 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes(10 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bits of a word's number in a task, as an edge is three of them in a long; edges that a task keeps before it passes them
 #: on; words that are counted in one step.
-WORD_BITS, MOST_EDGES, CHUNK = 21, 4_000_000, 400_000
+WORD_BITS, MOST_EDGES, CHUNK = 21, 4_000_000, 200_000
 #: Words of a task's table beyond which it passes its graphs on; a text in parts adds CHUNK + 2 to them at a time.
 MOST_WORDS = (1 << WORD_BITS) - 3 * CHUNK
 #: Parts of a language whose best phrases are found apart; edges in a row of a path at most.
@@ -36,7 +36,7 @@ class Graph:
     def __init__(self) -> None:
         self.waiting: list[np.ndarray] = []
         self.size = 0
-        self.keys, self.counts = np.zeros(0, dtype="i8"), np.zeros(0, dtype="i8")
+        self.keys, self.counts = np.zeros(0, dtype="i8"), np.zeros(0, dtype="i4")
 
     def add(self, ids: np.ndarray) -> None:
         """ids: words by their numbers, pieces followed by 0. The last two are only what follows the others."""
@@ -45,32 +45,38 @@ class Graph:
         a, b, c = a[at], b[at], c[at]
         self.waiting.append((a << 2 * WORD_BITS) | (b << WORD_BITS) | np.where(b != 0, c, 0))
         self.size += len(a)
-        if self.size > 2 * CHUNK + len(self.keys) // 2:
+        if self.size > 2 * CHUNK:
             self.settle()
 
     def settle(self) -> None:
         if not self.waiting:
             return
-        keys = np.concatenate([self.keys, *self.waiting])
-        counts = np.concatenate([self.counts, np.ones(len(keys) - len(self.keys), dtype="i8")])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.counts = _runs(keys[order], counts[order])
+        new = np.concatenate(self.waiting)
         self.waiting, self.size = [], 0
+        new.sort()
+        keys, counts = _runs(new, np.ones(len(new), dtype="i4"))
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        self.counts[at[known]] += counts[known]
+        fresh = ~known
+        self.keys, self.counts = np.insert(self.keys, at[fresh], keys[fresh]), np.insert(self.counts, at[fresh], counts[fresh])
 
 
 def _runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted keys and the sums of their counts."""
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype="i8")
-    return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
+    if not len(keys):
+        return keys, counts
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(counts, starts)
 
 
 def flows(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Counts of edges, nodes and words (keys without the bits of what follows): a node has what leaves it and what ends there."""
-    edge = keys & ((1 << WORD_BITS) - 1) != 0
     node_keys, node_counts = _runs(keys >> WORD_BITS, counts)
     word_keys, word_counts = _runs(node_keys >> WORD_BITS, node_counts)
-    real = node_keys & ((1 << WORD_BITS) - 1) != 0
-    return [(keys[edge], counts[edge]), (node_keys[real], node_counts[real]), (word_keys, word_counts)]
+    edge, node = keys & ((1 << WORD_BITS) - 1) != 0, node_keys & ((1 << WORD_BITS) - 1) != 0
+    return [(keys[edge], counts[edge]), (node_keys[node], node_counts[node]), (word_keys, word_counts)]
 
 
 def graph_rows(docs: DataFrame) -> DataFrame:
@@ -92,12 +98,12 @@ def graph_rows(docs: DataFrame) -> DataFrame:
             for lang, graph in graphs.items():
                 graph.settle()
                 for order, (keys, counts) in zip((3, 2, 1), flows(graph.keys, graph.counts)):
-                    for at in range(0, len(keys), 100_000):
-                        k = keys[at : at + 100_000]
+                    for at in range(0, len(keys), 50_000):
+                        k = keys[at : at + 50_000]
                         parts = [words.take(pa.array((k >> s * WORD_BITS & (1 << WORD_BITS) - 1) - 1)) for s in range(order - 1, -1, -1)]
                         phrase = pc.binary_join_element_wise(*parts, " ") if order > 1 else parts[0]
-                        yield pa.record_batch([pc.binary_join_element_wise(phrase, lang, "\n"), pa.array(counts[at : at + 100_000])], names=["key", "n"])
-                yield pa.record_batch([pa.array(["\n" + lang]), pa.array([int(graph.counts.sum())], pa.int64())], names=["key", "n"])
+                        yield pa.record_batch([pc.binary_join_element_wise(phrase, lang, "\n"), pa.array(counts[at : at + 50_000].astype("i8"))], names=["key", "n"])
+                yield pa.record_batch([pa.array(["\n" + lang]), pa.array([int(graph.counts.sum(dtype="i8"))], pa.int64())], names=["key", "n"])
             graphs.clear()
             number.clear()
 
