@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,21 +56,23 @@ def timeline(df: DataFrame, start: str = "period_start") -> DataFrame:
     return df.select(start).distinct().orderBy(start)
 
 
-def period_end(df: DataFrame, period: str, start: str = "period_start", calendar_end: bool = False) -> DataFrame:
+def period_end(df: DataFrame, period: str | Column, start: str = "period_start", calendar_end: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """period_end: the day before the next start that occurs; of the last one by the kind of period.
 
     The last epiweek ends on its start and the last year after 365 days, unless calendar_end asks for their real ends.
-    The timeline has a row for each distinct start and is small beside the data; it is joined back by equality.
+    With `by` each layer has a timeline of its own; a column as period gives each row's kind. The timeline has a row for
+    each distinct start and is small beside the data; it is joined back by equality.
     """
-    last: Column = F.date_sub(F.add_months(F.col(start), 1), 1)
-    if period == "year":
-        last = F.make_date(F.year(start), F.lit(12), F.lit(31)) if calendar_end else F.date_add(F.col(start), 364)
-    elif period == "epiweek":
-        last = F.date_add(F.col(start), 6 if calendar_end else 0)
-    line = df.select(start).distinct().withColumn("_chunk", F.year(start))
+    kind = period if isinstance(period, Column) else F.lit(period)
+    year = F.make_date(F.year(start), F.lit(12), F.lit(31)) if calendar_end else F.date_add(F.col(start), 364)
+    week = F.date_add(F.col(start), 6 if calendar_end else 0)
+    last = F.when(kind == "year", year).when(kind.isin("epiweek", "week"), week).otherwise(F.date_sub(F.add_months(F.col(start), 1), 1))
+    line = df.select(*by, start, last.alias("_last")).distinct().withColumn("_chunk", F.year(start))
     # the next start within a year, or else the first start of a later year that has any
-    chunks = line.groupBy("_chunk").agg(F.min(start).alias("_first")).withColumn("_later", F.lead("_first").over(Window.orderBy("_chunk")))
-    after = F.lead(start).over(Window.partitionBy("_chunk").orderBy(start))
-    ends = line.withColumn("_next", after).join(chunks.select("_chunk", "_later"), "_chunk")
-    ends = ends.select(F.col(start).alias("_s"), F.coalesce(F.date_sub(F.coalesce("_next", "_later"), 1), last).alias("period_end"))
-    return df.join(ends, F.col(start) == F.col("_s"), "left").drop("_s")
+    chunks = line.groupBy(*by, "_chunk").agg(F.min(start).alias("_first")).withColumn("_later", F.lead("_first").over(Window.partitionBy(*by).orderBy("_chunk")))
+    after = F.lead(start).over(Window.partitionBy(*by, "_chunk").orderBy(start))
+    same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}{c}").eqNullSafe(F.col(f"{b}{c}")) for c in by], F.lit(True))
+    later = chunks.select(*[F.col(c).alias(f"_c_{c}") for c in by], F.col("_chunk").alias("_c"), "_later")
+    ends = line.withColumn("_next", after).join(later, (F.col("_chunk") == F.col("_c")) & same("", "_c_"))
+    ends = ends.select(*[F.col(c).alias(f"_e_{c}") for c in by], F.col(start).alias("_s"), F.coalesce(F.date_sub(F.coalesce("_next", "_later"), 1), "_last").alias("period_end"))
+    return df.join(ends, (F.col(start) == F.col("_s")) & same("", "_e_"), "left").drop("_s", *[f"_e_{c}" for c in by])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geohealth.functions import calendar as cal
+from geohealth.functions.shapes import multipolygon_text
 
 CANONICAL = ["code", "name", "uf", "data_source", "name_indicator", "number", "start_date", "end_date", "time_agg", "spatial_agg", "value", "geometry"]
 #: Rings of a zone: array of arrays of points.
@@ -21,15 +21,18 @@ class MissingCombination(ValueError):
     """A combination that was asked for has no rows."""
 
 
-def select_combinations(df: DataFrame, spatial: list[str], temporal: list[str]) -> DataFrame:
-    """Rows of the pairs of aggregations; week and epiweek are one; rows without a code go; each pair must have rows."""
+def select_combinations(df: DataFrame, spatial: list[str], temporal: list[str], name: str | None = None):
+    """Rows of the pairs of aggregations; week and epiweek are one; rows without a code go; each pair must have rows.
+
+    With the name of a column also its values, of which there must be few (the indicators), from the same look at the rows.
+    """
     named = df.withColumn("agg_time", F.when(F.col("agg_time") == "week", "epiweek").otherwise(F.col("agg_time"))).where(F.col("cod").isNotNull())
-    wanted = ["epiweek" if t == "week" else t for t in temporal]
+    wanted = list(dict.fromkeys("epiweek" if t == "week" else t for t in temporal))
     kept = named.where(F.col("agg").isin(spatial) & F.col("agg_time").isin(wanted))
-    present = {(r[0], r[1]) for r in kept.select("agg", "agg_time").distinct().collect()}  # at most the pairs asked for
-    if lost := [(s, t) for s in spatial for t in wanted if (s, t) not in present]:
+    found = kept.select("agg", "agg_time", *([name] if name else [])).distinct().collect()  # at most the pairs asked for, times the names
+    if lost := [(s, t) for s in spatial for t in wanted if (s, t) not in {(r[0], r[1]) for r in found}]:
         raise MissingCombination(f"no rows for {lost}")
-    return kept
+    return (kept, sorted({r[2] for r in found if r[2] is not None})) if name else kept
 
 
 def crop_to_region(df: DataFrame, region: DataFrame, key: str = "code") -> DataFrame:
@@ -108,14 +111,25 @@ def latest_release(releases: DataFrame, name: str) -> DataFrame:
     return own.orderBy(F.desc("published_at"), "asset_name").limit(1)
 
 
+def encode_geometry(df: DataFrame, rings: str = "geometry", srid: int = 4326) -> DataFrame:
+    """df with the rings as the text of a multi-polygon with its reference system. A shape that many rows share is written once."""
+    own = df.withColumn("_shape", F.xxhash64(rings))
+    shapes = own.where(F.col(rings).isNotNull()).select("code", "_shape", rings).dropDuplicates(["code", "_shape"])
+    text = shapes.select(F.col("code").alias("_code"), F.col("_shape").alias("_s"), multipolygon_text(F.col(rings), srid).alias("_text"))
+    joined = own.drop(rings).join(text, F.col("code").eqNullSafe(F.col("_code")) & (F.col("_shape") == F.col("_s")), "left")
+    return joined.withColumnRenamed("_text", rings).select(*df.columns)
+
+
 def to_db_rows(df: DataFrame, flavour: str) -> DataFrame:
     """Rows for the relational table. health: missing numbers and values are 0, values have 2 decimals. climate: rows without
-    code or value are left out, values have 4."""
+    code or value are left out, values have 4. Rings become text that a geometry column takes."""
+    if flavour not in ("health", "climate"):
+        raise ValueError(f"unknown flavour: {flavour}")
+    if dict(df.dtypes).get("geometry", "").startswith("array"):
+        df = encode_geometry(df)
     if flavour == "health":
         return df.withColumn("number", F.coalesce("number", F.lit(0))).withColumn("value", F.coalesce("value", F.lit(0)).cast("decimal(10,2)"))
-    if flavour == "climate":
-        return df.where(F.col("code").isNotNull() & F.col("value").isNotNull()).withColumn("value", F.col("value").cast("decimal(10,4)"))
-    raise ValueError(f"unknown flavour: {flavour}")
+    return df.where(F.col("code").isNotNull() & F.col("value").isNotNull()).withColumn("value", F.col("value").cast("decimal(10,4)"))
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -145,8 +159,3 @@ def order_periods(df: DataFrame, start: str = "start_date") -> DataFrame:
 def first_by(df: DataFrame, keys: list[str], value: Column, order: Column) -> DataFrame:
     """The value of the first row of each key."""
     return df.groupBy(*keys).agg(F.min_by(value, order).alias("first"))
-
-
-def latest_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The newest row of each key."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order.desc()))).where("_n = 1").drop("_n")

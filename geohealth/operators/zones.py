@@ -6,13 +6,17 @@ cell; cell (i, j) covers [x0 + i r, x0 + (i + 1) r) by [y0 + j r, y0 + (j + 1) r
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from geohealth.functions import geodesy
+from geohealth.sources.scratch import stored
 
 #: A long edge is split so that its box never spans more cells than this in either direction.
 EDGE_CELLS = 64
@@ -89,6 +93,57 @@ def envelope(zones: DataFrame) -> DataFrame:
     return extent(zones).withColumn("footprint", geodesy.box_geojson(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]))
 
 
+@dataclass(frozen=True)
+class CellSpan:
+    """Cells i0 .. i1 by j0 .. j1."""
+
+    i0: int
+    i1: int
+    j0: int
+    j1: int
+
+
+def cell_span(zones: DataFrame, grid: Grid) -> CellSpan | None:
+    """The cells of the layer's box, those that a border touches included; None without any point. One row comes back."""
+    b = extent(zones).first()
+    if b["xmin"] is None:
+        return None
+    at = lambda v, o: math.floor((v - o) / grid.r)
+    return CellSpan(at(b["xmin"], grid.x0) - 1, at(b["xmax"], grid.x0) + 1, at(b["ymin"], grid.y0) - 1, at(b["ymax"], grid.y0) + 1)
+
+
+def align_grids(tables: Sequence[tuple[DataFrame, Grid]], by: Sequence[str] = ("day",)) -> DataFrame:
+    """Cell tables of different origin and step on one grid: by, i, j, lon, lat (centres) and value_0, value_1, ...
+
+    The grid covers the union of the tables' extents with as many whole cells of the first table's step as fit, stretched
+    to its sides. A target cell takes, of each table, the value of the cell that holds its centre: it works out that
+    cell's numbers, and the join is on equality. Every cell has a row for each combination of `by` in any of the tables,
+    with NULL where a table has no such cell. Without any cell there are no rows.
+    """
+    spans = [df.agg(*[f(c).alias(n + c) for c in "ij" for n, f in (("lo", F.min), ("hi", F.max))]).first() for df, _ in tables]  # a row a table
+    known = [(s, g) for s, (_, g) in zip(spans, tables) if s["loi"] is not None]
+    spark, names = tables[0][0].sparkSession, [f"value_{k}" for k in range(len(tables))]
+    if not known:
+        empty = [F.lit(None).cast("int").alias(c) for c in "ij"] + [F.lit(None).cast("double").alias(c) for c in ("lon", "lat", *names)]
+        return tables[0][0].where(F.lit(False)).select(*by, *empty)
+    west, east = min(g.x0 + s["loi"] * g.r for s, g in known), max(g.x0 + (s["hii"] + 1) * g.r for s, g in known)
+    south, north = min(g.y0 + s["loj"] * g.r for s, g in known), max(g.y0 + (s["hij"] + 1) * g.r for s, g in known)
+    step = tables[0][1].r
+    # a step that fits but for rounding counts; there is one cell at least
+    columns, rows = (max(1, math.floor(x / step + 1e-9)) for x in (east - west, north - south))
+    dx, dy = (east - west) / columns, (north - south) / rows
+    target = spark.range(columns * rows).select((F.col("id") % columns).cast("int").alias("i"), F.floor(F.col("id") / columns).cast("int").alias("j"))
+    target = target.withColumn("lon", west + (F.col("i") + 0.5) * dx).withColumn("lat", south + (F.col("j") + 0.5) * dy)
+    if by:
+        line = reduce(DataFrame.unionByName, [df.select(*by) for df, _ in tables]).distinct().agg(F.collect_list(F.struct(*by)).alias("_line"))  # one row
+        target = target.join(F.broadcast(line)).withColumn("_at", F.explode("_line")).select("_at.*", "i", "j", "lon", "lat")
+    for name, (df, grid) in zip(names, tables):
+        source = df.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("value").cast("double").alias(name))
+        on = [(_cell(F.col("lon"), grid.x0, grid.r) == F.col("_i")), (_cell(F.col("lat"), grid.y0, grid.r) == F.col("_j")), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]]
+        target = target.join(source, reduce(lambda a, b: a & b, on), "left").drop("_i", "_j", *[f"_{c}" for c in by])
+    return target.select(*by, "i", "j", "lon", "lat", *names)
+
+
 def snap_to_grid(df: DataFrame, grid: Grid, x: str = "lon", y: str = "lat") -> DataFrame:
     """Cell numbers i, j of points."""
     return df.withColumn("i", _cell(F.col(x), grid.x0, grid.r)).withColumn("j", _cell(F.col(y), grid.y0, grid.r))
@@ -110,10 +165,12 @@ def cell_period_stats(cells: DataFrame, stats: list[str]) -> DataFrame:
 def every_zone(stats: DataFrame, layer: DataFrame, by: list[str]) -> DataFrame:
     """stats with a row for each zone of the layer and each of the combinations of `by` that occur; NULL where there were no cells.
 
-    The timeline of combinations is small beside the data. It is put into one row, so each zone spreads it in place.
+    The statistics, a row a zone and period, are stored first: the timeline of combinations comes from them without the
+    cells being read again. It is put into one row, so each zone spreads it in place.
     """
     zones = layer.select("zone_id").distinct()
     if by:
+        stats = stored(stats, "zone-stats")
         line = stats.select(*by).distinct().agg(F.collect_list(F.struct(*by)).alias("_line"))  # one row
         zones = zones.join(F.broadcast(line)).withColumn("_at", F.explode("_line")).select("zone_id", "_at.*")
     return zones.join(stats, ["zone_id", *by], "left")

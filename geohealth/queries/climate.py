@@ -112,3 +112,63 @@ def climate_layer(spark, d):
     """The whole pipeline of one family."""
     got = pipelines.climate_indicator("temp_era5land", "month", v.cells(spark, d).select("day", "i", "j", "value"), v.zones(spark, d), v.GRID, [2024])
     return got.select("zone_id", "period_start", "number", *[v.r4(F.col(c)).alias(c) for c in ("max", "min", "mean")])
+
+
+def _families(spark, d, family, period, custom, **more):
+    """A family over the observations, with a zone that has no cells."""
+    return pipelines.climate_indicator(family, period, layer=v.zones_with_far(spark, d), grid=v.GRID, years=[2024], intervals=v.intervals(spark, d) if custom else None, **more)
+
+
+def _sql_placed(custom: bool, period: str) -> str:
+    """Cells with the start and number of their period."""
+    if custom:
+        return f"{v.SQL_INTERVALS}, placed AS (SELECT cells.*, a AS period_start, number FROM cells JOIN cal ON day BETWEEN a AND b WHERE year(day) = 2024)"
+    if period == "month":
+        return "placed AS (SELECT *, CAST(date_trunc('month', day) AS DATE) AS period_start, CAST(month(day) AS INTEGER) AS number FROM cells WHERE year(day) = 2024)"
+    return f"placed AS (SELECT *, {v.sql_sunday('day')} AS period_start, {v.sql_epi_week('day')} AS number FROM cells WHERE {v.sql_epi_year('day')} = 2024 AND (year(day) = 2024 OR day BETWEEN DATE '2023-12-25' AND DATE '2023-12-31'))"
+
+
+_SQL_LINE = "line AS (SELECT DISTINCT period_start, number FROM members JOIN placed USING (i, j))"
+
+
+@query("climate_precipitation_epiweek", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, {v.SQL_FAR}, {_sql_placed(False, 'epiweek')}, {_SQL_LINE},
+s AS (SELECT period_start, i, j, max(value * 1000) AS hi, avg(value * 1000) AS mid FROM placed GROUP BY ALL), x AS (SELECT zone_id, period_start, max(hi) AS hi, avg(mid) AS mid FROM members JOIN s USING (i, j) GROUP BY ALL)
+SELECT zone_id, period_start, number, {v.sql_r4('hi')} AS max, {v.sql_r4('mid')} AS mean FROM layer CROSS JOIN line LEFT JOIN x USING (zone_id, period_start)""")
+def climate_precipitation_epiweek(spark, d):
+    got = _families(spark, d, "precip_era5land", "epiweek", False, cells=v.cells(spark, d).select("day", "i", "j", "value"), stats=["max", "mean"])
+    return got.select("zone_id", "period_start", "number", v.r4(F.col("max")).alias("max"), v.r4(F.col("mean")).alias("mean"))
+
+
+def _anomaly(name: str, period: str, custom: bool):
+    sql = f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, {v.SQL_FAR}, {_sql_placed(custom, period)}, {_SQL_LINE}, daily AS (SELECT zone_id, period_start, day, max(value + 273.15 - 273.15) AS value FROM members JOIN placed USING (i, j) GROUP BY ALL),
+marked AS (SELECT *, value > 60 + (zone_id % 7) * 5 + month(period_start) - 1 AS above FROM daily), {_SQL_RUN}, d AS (SELECT zone_id, period_start, count(*) FILTER (WHERE above) AS n FROM marked GROUP BY ALL), r AS (SELECT zone_id, period_start, max(n) AS n FROM runs GROUP BY ALL)
+SELECT layer.zone_id, line.period_start, number, coalesce(d.n, 0) AS days_above, coalesce(r.n, 0) AS longest_run FROM layer CROSS JOIN line LEFT JOIN d ON d.zone_id = layer.zone_id AND d.period_start = line.period_start LEFT JOIN r ON r.zone_id = layer.zone_id AND r.period_start = line.period_start"""
+
+    @query(name, sql)
+    def run(spark, d):
+        cells = v.cells(spark, d).select("day", "i", "j", (F.col("value") + 273.15).alias("value"))
+        return _families(spark, d, "anomaly_era5land", period, custom, cells=cells, normals=_normals(spark)).select("zone_id", "period_start", "number", "days_above", "longest_run")
+
+    return run
+
+
+climate_anomaly_month, climate_anomaly_custom = _anomaly("climate_anomaly_month", "month", False), _anomaly("climate_anomaly_custom", "month", True)
+
+
+def _humidity(name: str, period: str, custom: bool):
+    kelvin = lambda x: f"({x} + 273.15 - 273.15)"
+    sql = f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, {v.SQL_FAR}, {_sql_placed(custom, period)}, m AS (SELECT event_type, period_start, number, day, i, j, avg(value) / 20 AS x FROM placed GROUP BY ALL),
+rh AS (SELECT period_start, number, i, j, avg({_RH.format(t=kelvin('a.x + 10'), td=kelvin('b.x'))}) AS x FROM m a JOIN m b USING (period_start, number, day, i, j) WHERE a.event_type = 'view' AND b.event_type = 'click' GROUP BY ALL),
+z AS (SELECT zone_id, period_start, {v.sql_r4('avg(x)')} AS mean FROM members JOIN rh USING (i, j) GROUP BY ALL)
+SELECT zone_id, period_start, number, mean FROM layer CROSS JOIN (SELECT DISTINCT period_start, number FROM members JOIN rh USING (i, j)) LEFT JOIN z USING (zone_id, period_start)"""
+
+    @query(name, sql)
+    def run(spark, d):
+        t, td = (x.withColumn("value", F.col("value") + 273.15) for x in _two(spark, d))
+        got = _families(spark, d, "humidity_era5land", period, custom, cells=t, dewpoint=td)
+        return got.select("zone_id", "period_start", "number", v.r4(F.col("mean")).alias("mean"))
+
+    return run
+
+
+climate_humidity_epiweek, climate_humidity_custom = _humidity("climate_humidity_epiweek", "epiweek", False), _humidity("climate_humidity_custom", "month", True)

@@ -10,6 +10,7 @@ from geohealth.operators import classify
 from geohealth.operators import health as ops
 from geohealth.plans import pipelines
 from geohealth.queries import views as v
+from geohealth.queries.calendar import case_years
 from geohealth.queries.registry import query
 
 _AGG = "CASE WHEN o_orderkey % 2 = 0 THEN 'municipality' ELSE 'state' END"
@@ -17,12 +18,14 @@ _TIME = "CASE WHEN o_orderkey % 3 = 0 THEN 'week' WHEN o_orderkey % 3 = 1 THEN '
 
 
 def _tagged(spark, d):
-    """Cases as an indicator table: every 11th code is missing, every 13th no number."""
+    """Cases as an indicator table: every 11th code is missing, every 13th no number. i0 has values below 1 and none in July."""
     k = F.col("o_orderkey")
     cod = F.when(k % 11 == 0, None).when(k % 13 == 0, F.lit("x")).otherwise(F.col("code").cast("string"))
     kind = F.when(k % 3 == 0, "week").when(k % 3 == 1, "month").otherwise("epiweek")
-    return v.cases(spark, d).select("o_orderkey", cod.alias("cod"), F.date_format("day", "yyyy-MM-dd").alias("date"), F.when(k % 5 == 0, "i0").otherwise("i1").alias("indicator"),
-                                    F.when(k % 2 == 0, "municipality").otherwise("state").alias("agg"), kind.alias("agg_time"), F.col("value"), "day")
+    small = k % 5 == 0
+    return v.cases(spark, d).where(~small | (F.month("day") != 7)).select(
+        "o_orderkey", cod.alias("cod"), F.date_format("day", "yyyy-MM-dd").alias("date"), F.when(small, "i0").otherwise("i1").alias("indicator"), F.when(k % 2 == 0, "municipality").otherwise("state").alias("agg"),
+        kind.alias("agg_time"), F.when(small, F.col("value") / 1e6 + 3.3e-9).otherwise(F.col("value")).alias("value"), "day")
 
 
 def _registry(spark, d):
@@ -32,7 +35,7 @@ def _registry(spark, d):
 
 
 _SQL_REG = "reg AS (SELECT 'p' || (r_regionkey % 2) AS provider, 'i' || (r_regionkey // 2) AS id, 'Title of ' || lower(r_name) AS title FROM region)"
-_SQL_TAG = f"{v.SQL_CASES}, tagged AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'x' ELSE CAST(code AS VARCHAR) END AS cod, day, CASE WHEN o_orderkey % 5 = 0 THEN 'i0' ELSE 'i1' END AS indicator, {_AGG} AS agg, {_TIME} AS kind, value FROM cases)"
+_SQL_TAG = f"{v.SQL_CASES}, tagged AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'x' ELSE CAST(code AS VARCHAR) END AS cod, day, CASE WHEN o_orderkey % 5 = 0 THEN 'i0' ELSE 'i1' END AS indicator, {_AGG} AS agg, {_TIME} AS kind, CASE WHEN o_orderkey % 5 = 0 THEN value / 1e6 + 3.3e-9 ELSE value END AS value FROM cases WHERE o_orderkey % 5 <> 0 OR month(day) <> 7)"
 
 
 @query("combination_split", f"WITH {_SQL_TAG} SELECT o_orderkey, agg, CASE WHEN kind = 'week' THEN 'epiweek' ELSE kind END AS agg_time FROM tagged WHERE cod IS NOT NULL AND agg = 'municipality' AND kind IN ('week', 'epiweek', 'month')")
@@ -108,29 +111,64 @@ def bin_color(spark, d):
 _WEEKS = ["19950101", "19950108", "19950115", "19950122"]
 
 
-@query("long_to_wide", f"WITH {v.SQL_CASES} SELECT code, " + ", ".join(f"max(CASE WHEN s = DATE '{w[:4]}-{w[4:6]}-{w[6:]}' THEN n END) AS w_{w}" for w in _WEEKS) + f" FROM (SELECT code, {v.sql_sunday('day')} AS s, count(*) AS n FROM cases GROUP BY ALL) GROUP BY code")
+_MONTHS = [f"2000{m:02d}01" for m in range(1, 13)]
+_SQL_YEARLY = "yearly AS (SELECT code * 10000 + year(day) AS code, CAST(month(day) AS INTEGER) AS m, count(*) AS n FROM cases GROUP BY ALL)"
+
+
+def _monthly(spark, d):
+    """Cases by month, with the code and year as key and the month in a year that stands for all."""
+    day = F.col("day")
+    return v.cases(spark, d).groupBy((F.col("code") * 10_000 + F.year(day)).alias("code"), F.make_date(F.lit(2000), F.month(day), F.lit(1)).alias("period_start")).agg(F.count(F.lit(1)).alias("value"))
+
+
+@query("long_to_wide", f"WITH {v.SQL_CASES}, {_SQL_YEARLY} SELECT code, " + ", ".join(f"max(CASE WHEN m = {int(w[4:6])} THEN n END) AS w_{w}" for w in _MONTHS) + " FROM yearly GROUP BY code")
 def long_to_wide(spark, d):
-    weekly = v.cases(spark, d).groupBy("code", cal.epi_start(F.col("day")).alias("period_start")).agg(F.count(F.lit(1)).alias("value"))
-    return ops.periods_to_wide(weekly, "code", _WEEKS)
+    """All months of the table: a row a code and year."""
+    return ops.periods_to_wide(_monthly(spark, d), "code", _MONTHS)
 
 
-@query("wide_to_long", f"WITH {v.SQL_CASES}, w AS (SELECT code, {v.sql_sunday('day')} AS s, count(*) AS n FROM cases GROUP BY ALL) SELECT c.code, CAST(t.s AS DATE) AS period_start, w.n AS value FROM (SELECT DISTINCT code FROM w) c CROSS JOIN (SELECT unnest(range(DATE '1995-01-01', DATE '1995-01-29', INTERVAL 7 DAY)) AS s) t LEFT JOIN w ON w.code = c.code AND w.s = t.s")
+@query("wide_to_long", f"WITH {v.SQL_CASES}, {_SQL_YEARLY} SELECT c.code, make_date(2000, t.m, 1) AS period_start, w.n AS value FROM (SELECT DISTINCT code FROM yearly) c CROSS JOIN (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS m) t LEFT JOIN yearly w ON w.code = c.code AND w.m = t.m")
 def wide_to_long(spark, d):
-    """A code without cases in a week keeps its row."""
+    """A code and year without cases in a month keeps its row."""
     return ops.periods_to_long(long_to_wide(spark, d), "code")
 
 
-@query("health_layer", f"""WITH {_SQL_TAG}, {_SQL_REG}, {v.SQL_ZONES}, r AS (SELECT TRY_CAST(cod AS BIGINT) AS code, n_name AS name, 'R' || n_regionkey AS uf, provider AS data_source, title AS name_indicator, CASE WHEN kind = 'month' THEN 'month' ELSE 'epiweek' END AS time_agg, agg AS spatial_agg, day, value
-  FROM tagged JOIN reg ON reg.id = indicator AND provider = 'p0' JOIN nation ON n_nationkey = TRY_CAST(cod AS BIGINT) WHERE agg = 'municipality'),
+_SQL_LAYER = f"""{_SQL_TAG}, {_SQL_REG}, {v.SQL_ZONES}, r AS (SELECT TRY_CAST(cod AS BIGINT) AS code, n_name AS name, 'R' || n_regionkey AS uf, provider AS data_source, title AS name_indicator, CASE WHEN kind = 'month' THEN 'month' ELSE 'epiweek' END AS time_agg, agg AS spatial_agg, day, value
+  FROM tagged JOIN reg ON reg.id = indicator AND provider = 'p0' JOIN nation ON n_nationkey = TRY_CAST(cod AS BIGINT)),
 s AS (SELECT *, CASE WHEN time_agg = 'month' THEN CAST(date_trunc('month', day) AS DATE) ELSE day END AS start_date FROM r),
-line AS (SELECT time_agg, start_date, lead(start_date) OVER (PARTITION BY time_agg ORDER BY start_date) AS nxt FROM (SELECT DISTINCT time_agg, start_date FROM s))
-SELECT code, name, uf, data_source, name_indicator, CASE WHEN time_agg = 'month' THEN CAST(month(start_date) AS INTEGER) ELSE {v.sql_epi_week('start_date')} END AS number, start_date,
-  CAST(coalesce(nxt - 1, CASE WHEN time_agg = 'month' THEN CAST(start_date + INTERVAL 1 MONTH AS DATE) - 1 ELSE start_date END) AS DATE) AS end_date, time_agg, spatial_agg, value, CAST(5 AS INTEGER) AS corners, west FROM s JOIN line USING (time_agg, start_date) JOIN (SELECT zone_id, min(x) AS west FROM corners GROUP BY zone_id) ON zone_id = code""")
+most AS (SELECT name_indicator, spatial_agg, time_agg, max(value) AS most FROM s GROUP BY ALL),
+line AS (SELECT name_indicator, spatial_agg, time_agg, start_date, lead(start_date) OVER (PARTITION BY name_indicator, spatial_agg, time_agg ORDER BY start_date) AS nxt FROM (SELECT DISTINCT name_indicator, spatial_agg, time_agg, start_date FROM s)),
+health AS (SELECT code, name, uf, data_source, name_indicator, CASE WHEN time_agg = 'month' THEN CAST(month(start_date) AS INTEGER) ELSE {v.sql_epi_week('start_date')} END AS number, start_date,
+  CAST(coalesce(nxt - 1, CASE WHEN time_agg = 'month' THEN CAST(start_date + INTERVAL 1 MONTH AS DATE) - 1 ELSE start_date END) AS DATE) AS end_date, time_agg, spatial_agg, CASE WHEN most > 0 AND most < 1 THEN round(value, 4) ELSE round(value, 2) END AS value
+  FROM s JOIN line USING (name_indicator, spatial_agg, time_agg, start_date) JOIN most USING (name_indicator, spatial_agg, time_agg))"""
+
+
+def _health(spark, d):
+    epi = calops.epi_calendar(spark, case_years(spark, d))
+    return pipelines.health_indicator(_tagged(spark, d), ["municipality", "state"], ["week", "month"], v.zones(spark, d), epi, _registry(spark, d), "p0")
+
+
+@query("health_layer", f"WITH {_SQL_LAYER} SELECT h.*, CAST(5 AS INTEGER) AS corners, west FROM health h JOIN (SELECT zone_id, min(x) AS west FROM corners GROUP BY zone_id) ON zone_id = code")
 def health_layer(spark, d):
-    """The whole pipeline over two kinds of periods."""
-    epi = calops.epi_calendar(spark, list(range(1995, 2002)))
-    got = pipelines.health_indicator(_tagged(spark, d), ["municipality"], ["week", "month"], v.zones(spark, d), epi, _registry(spark, d), "p0")
-    return got.withColumn("corners", F.size(F.flatten("geometry"))).withColumn("west", _west("geometry")).drop("geometry")
+    """The whole pipeline over two indicators of different size, one of them without Julys, in two kinds of places and periods."""
+    return _health(spark, d).withColumn("corners", F.size(F.flatten("geometry"))).withColumn("west", _west("geometry")).drop("geometry")
+
+
+@query("layer_db_rows", f"""WITH {_SQL_LAYER}, shape AS (SELECT zone_id, 'SRID=4326;MULTIPOLYGON(((' || string_agg(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), ', ' ORDER BY p) || ', ' || arg_min(CAST(x AS VARCHAR) || ' ' || CAST(y AS VARCHAR), p) || ')))' AS geometry FROM corners GROUP BY zone_id)
+SELECT code, name_indicator, geometry, count(*) AS n, CAST(sum(CAST(round(value + 3e-7, 2) AS DECIMAL(10, 2))) AS DECIMAL(20, 2)) AS total FROM health JOIN shape ON zone_id = code GROUP BY ALL""")
+def layer_db_rows(spark, d):
+    """The pipeline's rows as they are loaded into a database, with their shapes as text."""
+    rows = ops.to_db_rows(_health(spark, d), "health")
+    return rows.groupBy("code", "name_indicator", "geometry").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(20,2)").alias("total"))
+
+
+@query("classified_layers", f"""WITH {_SQL_TAG}, b AS (SELECT indicator, agg, min(value) AS least, max(value) AS most FROM tagged GROUP BY ALL), breaks AS (SELECT indicator, agg, most > 0 AND most < 1 AS fine, [least + (most - least) / 5 * k FOR k IN [1, 2, 3, 4]] AS e FROM b),
+shown AS (SELECT indicator, agg, [CASE WHEN fine THEN round(x, 4) ELSE round(x, 2) END FOR x IN e] AS steps, [CASE WHEN fine THEN printf('%.4f', round(x, 4)) ELSE printf('%.2f', round(x, 2)) END FOR x IN e] AS t FROM breaks),
+c AS (SELECT o_orderkey, 1 + len(list_filter(steps, lambda x: value >= x)) AS class, t FROM tagged JOIN shown USING (indicator, agg))
+SELECT o_orderkey, CAST(class AS INTEGER) AS class, CASE class WHEN 1 THEN 'Lower than ' || t[1] WHEN 5 THEN 'Greater than ' || t[4] ELSE 'Between ' || t[class - 1] || ' and ' || t[class] END AS label FROM c""")
+def classified_layers(spark, d):
+    """Four layers in one table, each with classes of its own."""
+    return pipelines.classify_layer(_tagged(spark, d), by=["indicator", "agg"]).select("o_orderkey", "class", "label")
 
 
 def _loose(spark, d):

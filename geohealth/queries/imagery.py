@@ -55,10 +55,10 @@ def vignette(spark, d):
 
 
 def _pixels(spark, d):
-    return v.daily(spark, d).select((F.col("l_partkey") % 20).alias("image"), F.lit("red").alias("band"), "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") == 7, F.lit(-9999.0)).otherwise(F.col("value")).alias("dn"))
+    return v.daily(spark, d).select(F.col("l_partkey").alias("image"), F.lit("red").alias("band"), "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") == 7, F.lit(-9999.0)).otherwise(F.col("value")).alias("dn"))
 
 
-_SQL_PIXELS = f"{v.SQL_DAILY}, pixels AS (SELECT l_partkey % 20 AS image, 'red' AS band, l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN value END AS dn FROM daily)"
+_SQL_PIXELS = f"{v.SQL_DAILY}, pixels AS (SELECT l_partkey AS image, 'red' AS band, l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 THEN value END AS dn FROM daily)"
 
 
 @query("band_stats", f"WITH {_SQL_PIXELS} SELECT image, band, min(dn) AS least, max(dn) AS most, {v.sql_r4('avg(dn)')} AS mean, {v.sql_r4('stddev_pop(dn)')} AS spread FROM pixels GROUP BY ALL")
@@ -156,10 +156,26 @@ def utc_time(spark, d):
 
 @query("drone_items", f"WITH {_SQL_IMAGES}, {_SQL_FOOT}, {_SQL_PIXELS} SELECT i.p_partkey, i.collection, 'sensor ' || lower(i.collection) AS instrument, round({_SQL_GSD} + 3e-9, 6) AS gsd_m, round(f.lon - f.dlon + 3e-9, 6) AS west, b.n AS bands, b.most FROM images i JOIN foot f USING (p_partkey) LEFT JOIN (SELECT image, 1 AS n, max(dn) AS most FROM pixels GROUP BY image) b ON b.image = i.p_partkey WHERE i.p_partkey % 3 <> 0")
 def drone_items(spark, d):
-    """The whole catalogue; every third image is published already, and few have pixels."""
+    """The whole catalogue; every third image is published already."""
     images = _images(spark, d)
     kinds = images.select("collection").distinct().withColumn("instrument", F.concat(F.lit("sensor "), F.lower("collection")))
     pixels = _pixels(spark, d).withColumn("image", F.concat(F.lit("img_"), F.col("image").cast("string")))
     got = pipelines.drone_catalogue(images, images.where("p_partkey % 3 = 0"), kinds, pixels)
     bands = F.when(F.col("bands").isNotNull(), F.size("bands"))
     return got.select("p_partkey", "collection", "instrument", F.round(F.col("gsd_m") + 3e-9, 6).alias("gsd_m"), F.round(F.col("west") + 3e-9, 6).alias("west"), bands.alias("bands"), F.get(F.col("bands"), F.lit(0))["most"].alias("most"))
+
+
+@query("drone_catalogue", f"""WITH {_SQL_IMAGES}, {v.SQL_ZONES}, tz AS (SELECT i, j, min(zone_id) AS z FROM inside GROUP BY ALL), img AS (SELECT *, CAST(p_partkey % 15 AS INTEGER) AS i, CAST((p_partkey // 15) % 10 AS INTEGER) AS j, TIMESTAMP '2024-01-01 00:00:00' + CAST(p_partkey % 5000 AS INTEGER) * INTERVAL 1 HOUR AS t FROM images WHERE p_partkey % 5 <> 0)
+SELECT p_partkey, 'sensor ' || lower(collection) AS instrument, strftime(t + CASE WHEN z % 2 = 0 THEN INTERVAL 3 HOUR WHEN z % 2 = 1 THEN INTERVAL 4 HOUR END, '%Y-%m-%dT%H:%M:%S') AS utc,
+  CAST(CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE 2 END AS INTEGER) AS assets, CASE WHEN p_partkey % 4 > 1 THEN '/data/thumbs/img_' || p_partkey || '_20240105.png' END AS thumbnail FROM img LEFT JOIN tz USING (i, j)""")
+def drone_catalogue(spark, d):
+    """The catalogue with the time of each image's zone and its files: a picture for three of four, a thumbnail for two."""
+    k, z = F.col("p_partkey"), F.col("zone_id")
+    name = F.concat(F.lit("img_"), k.cast("string"), F.lit("_20240105"))
+    images = _images(spark, d).withColumns({"item": name, "i": (k % 15).cast("int"), "j": (F.floor(k / 15) % 10).cast("int"), "local_ts": F.timestamp_seconds(F.lit(1704067200) + k % 5000 * 3600)})
+    kinds = images.select("collection").distinct().withColumn("instrument", F.concat(F.lit("sensor "), F.lower("collection")))
+    tz = v.zones(spark, d).select("zone_id", F.when(z % 2 == 0, "-03:00").otherwise("-04:00").alias("tz"))
+    file = lambda folder, kind: F.concat(F.lit(f"/data/{folder}/"), "item", F.lit("." + kind)).alias("path")
+    paths = images.where("p_partkey % 4 > 0").select(file("pictures", "tif")).unionAll(images.where("p_partkey % 4 > 1").select(file("thumbs", "png")))
+    got = pipelines.drone_catalogue(images, images.where("p_partkey % 5 = 0"), kinds, cells=zn.zone_cells(v.zones(spark, d), v.GRID, all_touched=False), zone_of=tz, paths=paths)
+    return got.select("p_partkey", "instrument", F.date_format("utc_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("utc"), F.when(F.col("assets").isNotNull(), F.size("assets")).alias("assets"), F.try_element_at("assets", F.lit("png"))["href"].alias("thumbnail"))

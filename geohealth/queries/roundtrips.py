@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from geohealth.functions import calendar as cal
 from geohealth.operators import health as ops
+from geohealth.operators import zones as zn
 from geohealth.plans import pipelines
 from geohealth.queries import views as v
 from geohealth.queries.incremental import _folder
@@ -69,44 +70,66 @@ def station_catalogue(spark, d):
 
 @query("cells_of_years", f"WITH {v.SQL_CELLS} SELECT i, j, count(*) AS n, max(value) AS most FROM cells WHERE event_type = 'click' AND (year(day) = 2024 OR day BETWEEN DATE '2023-12-25' AND DATE '2023-12-31') GROUP BY ALL")
 def cells_of_years(spark, d):
-    """A cell table by variable and year, of which one variable's partitions are read."""
+    """A cell table by variable, year and month, of which one variable's partitions are read."""
     path = _folder(spark, "cells")
-    cells = v.cells(spark, d).select(F.col("event_type").alias("variable"), F.year("day").alias("year"), "day", "i", "j", "value")
-    cells.write.partitionBy("variable", "year").parquet(path)
+    writers.write_cells(v.cells(spark, d).withColumnRenamed("event_type", "variable"), path)
     return readers.read_cells(spark, path, "click", [2024], "epiweek").groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("most"))
 
 
+@query("cells_of_box", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, b AS (SELECT floor(min(x)) - 1 AS i0, floor(max(x)) + 1 AS i1, floor(min(y)) - 1 AS j0, floor(max(y)) + 1 AS j1 FROM corners WHERE zone_id IN (6, 7))
+SELECT i, j, count(*) AS n, max(value) AS most FROM cells, b WHERE event_type = 'view' AND year(day) = 2024 AND i BETWEEN i0 AND i1 AND j BETWEEN j0 AND j1 GROUP BY ALL""")
+def cells_of_box(spark, d):
+    """Cells near two zones only: the box goes down to the files."""
+    path = _folder(spark, "cells")
+    writers.write_cells(v.cells(spark, d).withColumnRenamed("event_type", "variable"), path)
+    span = zn.cell_span(v.zones(spark, d).where("zone_id IN (6, 7)"), v.GRID)
+    return readers.read_cells(spark, path, "view", [2024], "month", span).groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("most"))
+
+
 @query("zone_layer_file", f"WITH {v.SQL_ZONES} SELECT zone_id, n_name AS name, CAST(count(*) AS INTEGER) AS corners, min(x) AS west, max(y) AS north FROM corners JOIN nation ON n_nationkey = zone_id GROUP BY ALL")
 def zone_layer_file(spark, d):
     """GeoJSON features, a line each, read as a layer again."""
     path = _folder(spark, "zones")
     writers.write_geojson_lines(v.zones(spark, d), path)
-    line = spark.read.text(path)
-    whole = line.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))  # a layer of nations
-    whole.write.text(path + "-layer")
-    got = readers.read_zones(spark, path + "-layer", {"zone_id": "zone_id", "name": "name", "uf": "uf"})
+    got = readers.read_zones(spark, path, {"zone_id": "zone_id", "name": "name", "uf": "uf"}, lines=True)
     points = F.flatten("rings")
     return got.select("zone_id", "name", F.size(points).alias("corners"), F.array_min(F.transform(points, lambda p: p["x"])).alias("west"), F.array_max(F.transform(points, lambda p: p["y"])).alias("north"))
 
 
-@query("period_files", f"WITH {v.SQL_CASES} SELECT CAST(date_trunc('month', day) AS DATE) AS period_start, 'i' || (o_orderkey % 2) AS name_indicator, count(*) AS n FROM cases GROUP BY ALL")
+@query("registry_file", """WITH reg AS (SELECT 'p' || (r_regionkey % 2) AS provider, 'i' || r_regionkey AS id, 'Title of ' || lower(r_name) AS title, 'http://p' || (r_regionkey % 2) AS url FROM region)
+SELECT o_orderkey, 'i' || (o_orderkey % 3 * 2) AS indicator, title, provider, url, 'BRA' AS country FROM orders JOIN reg ON id = 'i' || (o_orderkey % 3 * 2) WHERE provider = 'p0'""")
+def registry_file(spark, d):
+    """A registry as a JSON file; the orders' indicators must be in it."""
+    path = _folder(spark, "registry")
+    k = F.col("r_regionkey")
+    own = F.struct(F.concat(F.lit("i"), k.cast("string")).alias("id"), F.concat(F.lit("Title of "), F.lower("r_name")).alias("title"), F.lit("casos").alias("field_name"))
+    by = v.table(spark, d, "region").groupBy(F.concat(F.lit("p"), (k % 2).cast("string")).alias("p")).agg(F.collect_list(own).alias("indicators"))
+    entry = F.struct(F.col("p").alias("name"), F.concat(F.lit("http://"), "p").alias("url"), F.lit("BRA").alias("country"), "indicators")
+    by.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("p", entry)))).alias("value")).write.text(path)  # a row a provider
+    registry = readers.read_registry(spark, path)
+    ops.require_indicators(registry, "p0", ["i0", "i2", "i4"])
+    orders = v.table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("i"), (F.col("o_orderkey") % 3 * 2).cast("string")).alias("indicator"))
+    return ops.attach_indicator(orders, registry, "p0").select("o_orderkey", "indicator", "title", "provider", "url", "country")
+
+
+@query("period_files", f"""WITH {v.SQL_CASES}, c AS (SELECT CAST(date_trunc('month', day) AS DATE) AS period_start, 'i' || (o_orderkey % 2) AS name_indicator, o_orderkey FROM cases)
+SELECT period_start, name_indicator, count(*) AS n FROM c WHERE NOT (name_indicator = 'i1' AND month(period_start) = 3 AND o_orderkey % 4 = 1) GROUP BY ALL""")
 def period_files(spark, d):
-    """A directory for each indicator and month."""
+    """A directory for each indicator and month: one indicator is written, then the other beside it, then its Marches anew."""
     path = _folder(spark, "periods")
-    rows = v.cases(spark, d).select("code", "value", F.trunc("day", "month").alias("period_start"), F.concat(F.lit("i"), (F.col("o_orderkey") % 2).cast("string")).alias("name_indicator"))
-    writers.write_periods(rows, path)
+    rows = v.cases(spark, d).select("code", "value", "o_orderkey", F.trunc("day", "month").alias("period_start"), F.concat(F.lit("i"), (F.col("o_orderkey") % 2).cast("string")).alias("name_indicator"))
+    for part in ("name_indicator = 'i0'", "name_indicator = 'i1'", "name_indicator = 'i1' AND month(period_start) = 3 AND o_orderkey % 4 <> 1"):
+        writers.write_periods(rows.where(part), path)
     return spark.read.parquet(path).groupBy("period_start", "name_indicator").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("custom_climate", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, cal AS (SELECT CAST(DATE '2024-01-01' + CAST(10 * k AS INTEGER) AS DATE) AS a, CAST(DATE '2024-01-01' + CAST(10 * k + 6 AS INTEGER) AS DATE) AS b, CAST(k + 1 AS INTEGER) AS number FROM range(37) r(k)),
+@query("custom_climate", f"""WITH {v.SQL_CELLS}, {v.SQL_ZONES}, {v.SQL_INTERVALS},
 s AS (SELECT a AS period_start, number, i, j, max(value) AS hi FROM cells JOIN cal ON day BETWEEN a AND b WHERE year(day) = 2024 GROUP BY ALL), line AS (SELECT DISTINCT period_start, number FROM members JOIN s USING (i, j))
 SELECT CAST(n_nationkey AS BIGINT) AS zone_id, line.period_start, line.number, x.max, 'temp_cptec' AS name_indicator, 'custom' AS time_agg, 'municipality' AS spatial_agg, 'source' AS data_source
 FROM nation CROSS JOIN line LEFT JOIN (SELECT zone_id, period_start, max(hi) AS max FROM members JOIN s USING (i, j) GROUP BY ALL) x ON x.zone_id = n_nationkey AND x.period_start = line.period_start""")
 def custom_climate(spark, d):
     """The climate pipeline over intervals of seven days with gaps, with descriptions."""
-    k = F.col("id").cast("int")
-    intervals = spark.range(37).select(F.date_add(F.lit("2024-01-01").cast("date"), k * 10).alias("start_date"), F.date_add(F.lit("2024-01-01").cast("date"), k * 10 + 6).alias("end_date"), (k + 1).alias("number"))
-    return pipelines.climate_indicator("temp_cptec", "month", v.cells(spark, d).select("day", "i", "j", "value"), v.zones(spark, d), v.GRID, [2024], ["max"], intervals=intervals, source="source")
+    return pipelines.climate_indicator("temp_cptec", "month", v.cells(spark, d).select("day", "i", "j", "value"), v.zones(spark, d), v.GRID, [2024], ["max"], intervals=v.intervals(spark, d), source="source")
 
 
 @query("ordered_periods", f"SELECT {v.sql_sunday('CAST(o_orderdate AS DATE)')} AS period_start, count(*) AS n FROM orders GROUP BY ALL")

@@ -95,6 +95,29 @@ touched AS (SELECT DISTINCT zone_id, i, j FROM edges, ij WHERE least(x1, x2) <=
   AND abs((x2 - x1) * (cy - y1) - (y2 - y1) * (cx - x1)) <= (abs(x2 - x1) + abs(y2 - y1)) / 2),
 members AS (SELECT * FROM inside UNION SELECT * FROM touched)""".replace("any_value_cx(cx)", "cx")
 
+#: A zone far from all cells, beside those of the table.
+FAR = 99
+
+
+def zones_with_far(spark: SparkSession, d: str) -> DataFrame:
+    every = zones(spark, d)
+    shifted = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 1000).alias("x"), p["y"].alias("y"))))
+    return every.unionByName(every.where("zone_id = 0").select(F.lit(FAR).cast("long").alias("zone_id"), F.lit("FAR").alias("name"), "uf", shifted.alias("rings")))
+
+
+SQL_FAR = f"layer AS (SELECT CAST(n_nationkey AS BIGINT) AS zone_id FROM nation UNION ALL SELECT CAST({FAR} AS BIGINT))"
+
+
+def intervals(spark: SparkSession, d: str) -> DataFrame:
+    """A custom calendar over the observations: seven days of every ten."""
+    span = obs(spark, d).agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    k = span.select(F.posexplode(F.sequence("a", "b", F.expr("interval 10 days"))).alias("k", "start_date"))
+    return k.select("start_date", F.date_add("start_date", 6).alias("end_date"), (F.col("k") + 1).alias("number"))
+
+
+#: Needs obs.
+SQL_INTERVALS = "cal AS (SELECT CAST(a + CAST(10 * k AS INTEGER) AS DATE) AS a, CAST(a + CAST(10 * k + 6 AS INTEGER) AS DATE) AS b, CAST(k + 1 AS INTEGER) AS number FROM (SELECT a, unnest(range((b - a) // 10 + 1)) AS k FROM (SELECT min(day) AS a, max(day) AS b FROM obs)))"
+
 SUNDAY = "({0} - CAST(dayofweek({0}) AS INTEGER))"
 
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geohealth.functions import text
 from geohealth.operators.calendar import filter_years
+from geohealth.operators.zones import CellSpan
+from geohealth.sources.scratch import file_system
 
 
 @dataclass(frozen=True)
@@ -89,12 +92,29 @@ def normals_to_long(wide: DataFrame, months: list[str]) -> DataFrame:
     return long.select("code", number.alias("month"), value.alias("value")).where(F.col("value").isNotNull())
 
 
-def read_cells(spark: SparkSession, path: str, variable: str, years: list[int], period: str) -> DataFrame:
-    """day, i, j, value of a variable's partitions; only those of the years (and the weeks' lookback) are read."""
-    df = spark.read.parquet(path)
-    pruned = df.where((F.col("variable") == variable) & F.col("year").between(min(years) - 1, max(years)))
-    if df.select("variable").where(F.col("variable") == variable).limit(1).isEmpty():  # of a partition column: one file's footer
+def _variables(spark: SparkSession, path: str) -> set[str]:
+    """The variables that have a directory; no file is opened."""
+    files, folder = file_system(spark, path)
+    return {unquote(f.getPath().getName().removeprefix("variable=")) for f in files.listStatus(folder) if f.getPath().getName().startswith("variable=")}
+
+
+def read_cells(spark: SparkSession, path: str, variable: str, years: list[int], period: str, span: CellSpan | None = None) -> DataFrame:
+    """day, i, j, value of a variable's cells in the years (and, for epiweeks, in the lookback before them).
+
+    Directories are by variable and year, or by variable, year and month: only those that are asked for are read, so of
+    the year before the first only December, and that for epiweeks only. With a span of cells (that of the zones' box)
+    its bounds reach the files, which are skipped where they have none of these cells.
+    """
+    if variable not in _variables(spark, path):
         raise ValueError(f"no such variable: {variable}")
+    df = spark.read.parquet(path)
+    wanted = F.col("year").isin(years)
+    if period == "epiweek":
+        before = F.col("year") == min(years) - 1
+        wanted |= before & (F.col("month") == 12) if "month" in df.columns else before
+    pruned = df.where((F.col("variable") == variable) & wanted)
+    if span is not None:
+        pruned = pruned.where(F.col("i").between(span.i0, span.i1) & F.col("j").between(span.j0, span.j1))
     return filter_years(pruned, years, period).select("day", "i", "j", "value")
 
 
@@ -107,16 +127,28 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("provider", "p.url", "p.country", F.explode("p.indicators").alias("i")).select("provider", "url", "country", "i.id", "i.title", "i.field_name")
 
 
-ZONES = "type string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
+FEATURE = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
+ZONES = f"type string, features array<{FEATURE}>"
 
 
-def read_zones(spark: SparkSession, path: str, mapping: dict[str, str]) -> DataFrame:
-    """zone_id, name, uf, rings of GeoJSON features; mapping: our names to the file's properties. Polygons and multi-polygons."""
-    f = spark.read.schema(ZONES).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+def _zones(features: DataFrame, mapping: dict[str, str]) -> DataFrame:
     prop = lambda n: F.try_element_at(F.col("f.properties"), F.lit(mapping[n]))
     shape, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
     single = F.from_json(shape, "array<array<array<double>>>")
     several = F.flatten(F.from_json(shape, "array<array<array<array<double>>>>"))
     points = F.when(kind == "Polygon", single).otherwise(several)
     rings = F.transform(points, lambda ring: F.transform(ring, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))))
-    return f.select(prop("zone_id").try_cast("bigint").alias("zone_id"), prop("name").alias("name"), prop("uf").alias("uf"), rings.alias("rings"))
+    return features.select(prop("zone_id").try_cast("bigint").alias("zone_id"), prop("name").alias("name"), prop("uf").alias("uf"), rings.alias("rings"))
+
+
+def read_zones(spark: SparkSession, path: str, mapping: dict[str, str], lines: bool = False) -> DataFrame:
+    """zone_id, name, uf, rings of GeoJSON features; mapping: our names to the file's properties. Polygons and multi-polygons.
+
+    A file holds a whole collection, which one task reads. With lines each line holds a feature (a comma may follow it, and
+    lines without one, such as a collection's first and last, are left out): large files are then split over many tasks.
+    """
+    if lines:
+        text = spark.read.text(path).select(F.regexp_replace(F.trim("value"), r",\s*$", "").alias("line"))
+        found = text.where(F.get_json_object("line", "$.type") == "Feature").select(F.from_json("line", FEATURE).alias("f"))
+        return _zones(found, mapping)
+    return _zones(spark.read.schema(ZONES).option("multiLine", True).json(path).select(F.explode("features").alias("f")), mapping)
