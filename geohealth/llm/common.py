@@ -81,8 +81,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, rows: int, chars: int = 16_000_000, longest: int = 1_000_000) -> list[tuple[str, int]]:
-    """At most `rows` (text, label) pairs for training, none of them held out.
+def labelled_rows(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, rows: int, chars: int = 16_000_000, longest: int = 1_000_000) -> DataFrame:
+    """At most `rows` rows of text and label for training, none of them held out, in one partition and in order.
 
     The ids come from the small labels table in the order of a hash, so that the sample is the same in every run and at
     most `rows` ids are broadcast to the scan of the documents. Null labels, ids and texts take no part. Texts are taken
@@ -91,11 +91,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
     picked = (
         labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull())
         .where(crc_bucket(F.col("doc_id"), modulus) != held)
-        .groupBy("doc_id").agg(F.max(column).alias("_label"))
+        .groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     found = docs.where(F.length("text") <= longest).select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # `rows` ids at most
     first = found.withColumn("_at", F.xxhash64("doc_id")).orderBy("_at", "doc_id", "text").limit(rows)
     so_far = Window.orderBy("_at", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)  # over `rows` rows at most
-    got = first.withColumn("_chars", F.sum(F.length("text")).over(so_far)).where(F.col("_chars") <= chars).select("text", "_label").collect()
-    return [(r[0], int(r[1])) for r in got]
+    return first.withColumn("_chars", F.sum(F.length("text")).over(so_far)).where(F.col("_chars") <= chars).select("text", "label")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held: int, rows: int, **bounds: int) -> list[tuple[str, int]]:
+    """The rows of labelled_rows(), here."""
+    return [(r[0], r[1]) for r in labelled_rows(docs, labels, column, modulus, held, rows, **bounds).collect()]

@@ -10,16 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geohealth.llm.common import crc_bucket, labelled_sample
+from geohealth.llm.common import crc_bucket, discard, labelled_rows, materialize
 
 #: ASCII but digits and letters to spaces; bytes beyond ASCII belong to words.
 APART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: Words of a window and the step to the next; at most so many labelled rows are learned from.
-WINDOW, STEP, SAMPLE = 40, 20, 2500
+WINDOW, STEP, SAMPLE = 40, 20, 4000
 #: Learned vectors: of hashed words and of hashed runs of CHARS characters, and the rate at which they learn.
 CHARS, WORD_SLOTS, CHAR_SLOTS, WIDTH, RATE = 5, 1 << 16, 1 << 15, 8, 0.002
 #: Character n-grams of the evidence, its slots; inputs of a word (two vectors and its evidence), states of a direction.
 GRAMS, SLOTS, INPUTS, HIDDEN, FOLDS = (4, 6), 1 << 18, 2 * WIDTH + 1, 8, 4
+#: Windows that the network learns from at a time.
+BATCH = 256
 #: Words that a task keeps the inputs of.
 KEPT = 300_000
 
@@ -124,27 +126,31 @@ def fresh(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 
 def run_gru(proj: np.ndarray, u: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """States over time of one direction. proj: inputs' part of the gates (time, windows, 3 * HIDDEN); mask: (time, windows, 1)."""
-    steps, n, _ = proj.shape
-    h, out = np.zeros((n, HIDDEN), dtype="f4"), np.empty((steps, n, HIDDEN), dtype="f4")
+    """States over time of both directions. proj: inputs' part of the gates (time, direction, windows, 3 * HIDDEN), u: (direction,
+    HIDDEN, 3 * HIDDEN), mask: (time, direction, windows, 1); the second direction's time runs from the end."""
+    steps, _, n, _ = proj.shape
+    h, out = np.zeros((2, n, HIDDEN), dtype=proj.dtype), np.empty((steps, 2, n, HIDDEN), dtype=proj.dtype)
     for t in range(steps):
         hu, p = h @ u, proj[t]
-        gates = sigmoid(p[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
-        z, r, hn = gates[:, :HIDDEN], gates[:, HIDDEN:], hu[:, 2 * HIDDEN :]
-        c = np.tanh(p[:, 2 * HIDDEN :] + r * hn)
-        step = (1 - z) * (c - h) * mask[t]
+        gates = sigmoid(p[..., : 2 * HIDDEN] + hu[..., : 2 * HIDDEN])
+        z, r, hn = gates[..., :HIDDEN], gates[..., HIDDEN:], hu[..., 2 * HIDDEN :]
+        c = np.tanh(p[..., 2 * HIDDEN :] + r * hn)
         if keep is not None:
             keep.append((h, z, r, c, hn))
-        h = h + step
+        h = h + (1 - z) * (c - h) * mask[t]
         out[t] = h
     return out
 
 
+def both_ways(f: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Two arrays over time as directions of one; the second turned round."""
+    return np.stack([f, b[::-1]], axis=1)
+
+
 def forward(net: dict, proj: dict[str, np.ndarray], mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Logits of windows: both directions, attention over time, and a linear layer."""
-    f = run_gru(proj["f"], net["Uf"], mask, None if keep is None else keep.setdefault("f", []))
-    b = run_gru(proj["b"][::-1], net["Ub"], mask[::-1], None if keep is None else keep.setdefault("b", []))[::-1]
-    h = np.concatenate([f, b], axis=2)
+    out = run_gru(both_ways(proj["f"], proj["b"]), np.stack([net["Uf"], net["Ub"]]), both_ways(mask, mask), None if keep is None else keep.setdefault("steps", []))
+    h = np.concatenate([out[:, 0], out[::-1, 1]], axis=2)
     a = np.where(mask[:, :, 0] > 0, h @ net["v"], np.float32(-1e9))
     a = np.exp(a - a.max(axis=0))
     a *= mask[:, :, 0]
@@ -166,25 +172,24 @@ def gradients(net: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray, weight:
     da = np.einsum("tnh,nh->tn", h, dp)
     ds = a * (da - (a * da).sum(axis=0))
     g["v"] = np.einsum("tn,tnh->h", ds, h)
-    g["x"] = np.zeros_like(x)
     dh_all = a[:, :, None] * dp[None] + ds[:, :, None] * net["v"]
-    for d, part in (("f", dh_all[:, :, :HIDDEN]), ("b", dh_all[::-1, :, HIDDEN:])):
-        xs, ms = (x, mask) if d == "f" else (x[::-1], mask[::-1])
-        u, dh = net[f"U{d}"], np.zeros((x.shape[1], HIDDEN), dtype="f4")
-        g |= {f"W{d}": np.zeros_like(net[f"W{d}"]), f"U{d}": np.zeros_like(u), f"c{d}": np.zeros_like(net[f"c{d}"])}
-        for t in range(len(xs) - 1, -1, -1):
-            h0, z, r, c, hn = keep[d][t]
-            dh = dh + part[t]
-            ds_ = dh * ms[t]
-            dz, dc = -ds_ * (c - h0) * z * (1 - z), ds_ * (1 - z) * (1 - c * c)
-            dr = dc * hn * r * (1 - r)
-            gates = np.concatenate([dz, dr, dc], axis=1)
-            back = np.concatenate([dz, dr, dc * r], axis=1)
-            g[f"W{d}"] += xs[t].T @ gates
-            g[f"c{d}"] += gates.sum(axis=0)
-            g[f"U{d}"] += h0.T @ back
-            dh = dh - ds_ * (1 - z) + back @ u.T
-            g["x"][t if d == "f" else len(xs) - 1 - t] += gates @ net[f"W{d}"].T
+    part, masks = both_ways(dh_all[:, :, :HIDDEN], dh_all[:, :, HIDDEN:]), both_ways(mask, mask)
+    u = np.stack([net["Uf"], net["Ub"]])
+    turned, dh = u.transpose(0, 2, 1), np.zeros(part.shape[1:], dtype=part.dtype)
+    gates, du = np.empty((*part.shape[:3], 3 * HIDDEN), dtype=part.dtype), np.zeros_like(u)
+    for t in range(len(part) - 1, -1, -1):
+        h0, z, r, c, hn = keep["steps"][t]
+        dh = dh + part[t]
+        step = dh * masks[t]
+        dc = step * (1 - z) * (1 - c * c)
+        gates[t, ..., :HIDDEN], gates[t, ..., HIDDEN : 2 * HIDDEN], gates[t, ..., 2 * HIDDEN :] = -step * (c - h0) * z * (1 - z), dc * hn * r * (1 - r), dc
+        back = np.concatenate([gates[t, ..., : 2 * HIDDEN], dc * r], axis=2)
+        du += h0.transpose(0, 2, 1) @ back
+        dh = dh - step * (1 - z) + back @ turned
+    ways = {"f": gates[:, 0], "b": gates[::-1, 1]}
+    for k, (d, own) in enumerate(ways.items()):
+        g |= {f"W{d}": np.einsum("tni,tnj->ij", x, own, optimize=True), f"U{d}": du[k], f"c{d}": own.sum(axis=(0, 1))}
+    g["x"] = sum(own @ net[f"W{d}"].T for d, own in ways.items())
     return g
 
 
@@ -257,8 +262,8 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
     sums = [np.full((n, 1), 1e-6, dtype="f4") for n in (WORD_SLOTS, CHAR_SLOTS)]
     for _ in range(epochs):
         deal = rng.permutation(len(y))
-        for at in range(0, len(y), 128):
-            b = deal[at : at + 128]
+        for at in range(0, len(y), BATCH):
+            b = deal[at : at + BATCH]
             used, back = np.unique(laid[b].T, return_inverse=True)
             some = used[used < none] % len(words)
             x = np.zeros((len(used), INPUTS), dtype="f4")
@@ -276,8 +281,7 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
                 net[k] = (net[k] - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype("f4")
             mean = {k: mean[k] + (a - mean[k]) * max(0.02, 1 / step) for k, a in net.items()} if step > 1 else dict(net)
             if len(some):
-                dx = np.zeros_like(x)
-                np.add.at(dx, back, g["x"])
+                dx = _added(back, g["x"], len(x))
                 runs, _ = spelled.places(some)
                 spread = np.repeat(dx[: len(some), WIDTH : 2 * WIDTH] / spelled.count[some][:, None], spelled.count[some], axis=0)
                 _descend(learned_vectors.words, sums[0], spelled.whole[some] % WORD_SLOTS, dx[: len(some), :WIDTH] * keep[:, None])
@@ -297,11 +301,16 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, seed: int = 3) -> Model:
     return Model(*learned(np.arange(len(rows))), learned_vectors, net, *calibrate(top, labels))
 
 
+def _added(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the values (their last axis kept) that go to the same row."""
+    at, values = at.reshape(-1), values.reshape(-1, values.shape[-1])
+    return np.stack([np.bincount(at, values[:, k], rows) for k in range(values.shape[1])], axis=1).astype("f4")
+
+
 def _descend(table: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float = RATE) -> None:
     """A step against the gradients of some rows of a table, by the size of all that each row has had so far."""
     used, back = np.unique(rows, return_inverse=True)
-    g = np.zeros((len(used), grad.shape[1]), dtype="f4")
-    np.add.at(g, back.reshape(-1), grad)
+    g = _added(back, grad, len(used))
     sums[used] += (g * g).mean(axis=1, keepdims=True)
     table[used] -= rate * g / np.sqrt(sums[used]) + 1e-3 * table[used]
 
@@ -385,6 +394,19 @@ def blocks(texts: Iterable, chars: int = 1_000_000) -> Iterator[list]:
         yield block
 
 
+def trained(rows: DataFrame) -> Model:
+    """train() over rows of text and label, in a task of an executor: only the model comes back. A lost executor costs a new start."""
+    import pickle
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        yield pa.record_batch([pa.array([pickle.dumps(train(found))], pa.binary())], names=["model"])
+
+    one = rows.coalesce(1)  # the sample's bound is that of this task
+    got = one.mapInArrow(work, "model binary").first()
+    return pickle.loads(got[0]) if got else train([])  # a table without rows may have no task
+
+
 def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, sample: int = SAMPLE) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted.
 
@@ -393,7 +415,9 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
     repeated rows come out repeatedly. Without labels of both kinds the score is the share of toxic rows. An empty table
     gives an empty result; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_sample(docs, labels, "toxic", modulus, held_out, sample)))
+    rows = materialize(labelled_rows(docs, labels, "toxic", modulus, held_out, sample), "toxic-sample")
+    shared = docs.sparkSession.sparkContext.broadcast(trained(rows))
+    discard(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
