@@ -16,8 +16,8 @@ from geohealth.llm.common import crc_bucket
 
 #: Hashed n-grams of 1 to 3 bytes, each order in a table of its own.
 ORDERS, SLOTS = (1, 2, 3), 1 << 12
-#: Rows that are learned from, and their characters together; of a text at most so many.
-SAMPLE, SAMPLE_CHARS, LONGEST = 2000, 4_000_000, 200_000
+#: Rows that are learned from, and their characters together; of a longer text its middle, of so many characters, is learned from.
+SAMPLE, SAMPLE_CHARS, LONGEST = 2000, 4_000_000, 20_000
 #: Letters and, beyond ASCII, numerals such as a superscript, which has_letter() tells apart.
 LIKELY = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -136,10 +136,11 @@ def decode(model: Coded, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMPLE, chars: int = SAMPLE_CHARS, longest: int = LONGEST) -> list[tuple[str, str]]:
     """About `rows` (text, lang) rows, as many of each language as it has, up to its equal part and 20 at least.
 
-    Every language of the training rows is found, however rare. Within a language the order is that of a hash; texts over
-    `longest` characters are left to others, and texts are taken whole in turn as long as they have `chars` together.
+    Every language of the training rows is found, however rare and however long its texts: of a text over `longest`
+    characters its middle stands for it. Within a language the order is that of a hash; rows are taken in turn as long as
+    they have `chars` together, and each language's first row in any case.
     """
-    picked = docs.where(F.col("lang").isNotNull() & (crc_bucket(F.col("doc_id"), modulus) != held_out) & (F.length("text") <= longest)).select("doc_id", "text", "lang")
+    picked = docs.where(F.col("lang").isNotNull() & (crc_bucket(F.col("doc_id"), modulus) != held_out) & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     counts = picked.groupBy("lang").agg(F.count(F.lit(1)).alias("_all"))
     languages = counts.count()
     each = max(20, -(-rows // max(1, languages)))
@@ -150,26 +151,27 @@ def training_rows(docs: DataFrame, modulus: int, held_out: int, rows: int = SAMP
     keys = keys.withColumn("_at", F.xxhash64("doc_id")).join(F.broadcast(counts), "lang").where(low).drop("_all")
     ids = keys.withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= each).select("doc_id", "lang", "_th", "_turn").distinct()
     found = picked.withColumn("_th", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "lang", "_th"])  # `each` rows of a language
-    got, out, size = found.dropDuplicates(["doc_id", "lang", "_th", "_turn"]).orderBy("_turn", "lang").select("text", "lang").collect(), [], 0
-    for text, lang in got:
-        if size + len(text) <= chars:
+    part = F.when(F.length("text") > longest, F.substring("text", F.floor((F.length("text") - longest) / 2).cast("int") + 1, F.lit(longest))).otherwise(F.col("text"))
+    got, out, size = found.select("doc_id", "lang", "_th", "_turn", part.alias("text")).dropDuplicates(["doc_id", "lang", "_th", "_turn"]).orderBy("_turn", "lang").select("text", "lang", "_turn").collect(), [], 0
+    for text, lang, turn in got:
+        if turn == 1 or size + len(text) <= chars:
             out.append((text, lang))
             size += len(text)
     return out
 
 
-def identify(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
+def identify(docs: DataFrame, modulus: int = 3, held_out: int = 1, sample: int = SAMPLE, chars: int = SAMPLE_CHARS, longest: int = LONGEST) -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score, ambiguous.
 
-    The classifiers are fitted on about SAMPLE rows with a language (at most SAMPLE_CHARS characters of whole texts of at
-    most LONGEST), equally of all languages, outside of the held-out ids; each predicts a bit of the languages' codewords
+    The classifiers are fitted on about `sample` rows with a language (of `chars` characters together, and of a text
+    at most `longest` from its middle), equally of all languages, outside of the held-out ids; each predicts a bit of the languages' codewords
     from all n-grams of a text. The language whose codeword has the least summed loss is chosen, of equally near ones the
     first by name; score is its share against the others, and a text whose second language has over half of that is
     ambiguous. A letter is what Unicode calls one: superscripts, fractions and other numerals aren't. Null texts and texts without a letter, and all texts if nothing could
     be learned, get `und` with score 0. Null ids are predicted like others; repeated rows come out repeatedly. An empty
     table gives an empty result; other columns are ignored.
     """
-    model = fit(training_rows(docs, modulus, held_out))
+    model = fit(training_rows(docs, modulus, held_out, sample, chars, longest))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
