@@ -13,8 +13,8 @@ from pyspark.sql.window import Window
 
 from geohealth.llm.common import discard, materialize
 
-#: Rows of a cell (the unit of work on the index side) and queries that meet it in one group.
-CELL_ROWS, GROUP_QUERIES = 4096, 4096
+#: Rows of a cell (the unit of work on the index side) and queries that meet it in one step.
+CELL_ROWS, STEP_QUERIES = 4096, 256
 #: Bounds of what the centroids and the probe are fitted on: lists, rows a list, components of all rows.
 MOST_LISTS, SAMPLE_PER_LIST, SAMPLE_FLOATS = 16_384, 32, 8_000_000
 #: Queries of the sample that the probe is fitted on.
@@ -122,7 +122,8 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     the others tests against. A query that has fewer than k rows then goes on with all other lists.
 
     Neighbouring lists are put in cells of CELL_ROWS rows and large ones, such as a vector with very many copies, are dealt
-    to several by a hash, so no group is larger than about 2 * CELL_ROWS rows by 2 * GROUP_QUERIES queries.
+    to several by a hash. The index is shuffled by cell once; within a task a cell's rows come before the queries that are
+    routed to it, which then stream past it: a task holds the rows of one cell and STEP_QUERIES queries, however many there are.
 
     Scores are sums in double precision over the original components; ties go to the smaller vec_id. Vectors that are
     null, zero, of another length than the commonest, or hold null or non-finite components take no part, nor do rows
@@ -175,7 +176,6 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
     index = index.join(F.broadcast(layout), "list").select((F.col("first") + F.pmod(F.xxhash64("_row"), F.col("parts"))).alias("cell"), "list", "vec_id", "_row", "vec", "turned")
 
     asked = rows.where(queries(F.col("vec_id")))
-    groups = max(1, -(-asked.count() // GROUP_QUERIES))
 
     def route(near: int, far: int):
         """Queries with the cells that hold the lists from the near-th to before the far-th of theirs."""
@@ -198,53 +198,69 @@ def search(vectors: DataFrame, queries, k: int = 20, vector: str = "embedding",
                         yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*out), kinds)], names=["cell", "query_id", "_query", "q", "probes"])
         return work
 
-    def meet(_key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = [c.split()[0] for c in FOUND.split(", ")]
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=names)
-        x = np.frombuffer(b"".join(left["vec"]), dtype="f8").reshape(-1, dims)
-        turned = np.frombuffer(b"".join(left["turned"]), dtype="f4").reshape(-1, dims)
-        ids, own = left["vec_id"].to_numpy(), left["_row"].to_numpy()
-        here, x_list = np.unique(left["list"].to_numpy(), return_inverse=True)
-        number = {one: i for i, one in enumerate(here.tolist())}
-        found = []
-        for start in range(0, len(right), 256):
-            some = right.iloc[start : start + 256]
-            q = np.frombuffer(b"".join(some["q"]), dtype="f8").reshape(-1, dims)
-            tau = some["tau"].to_numpy(dtype="f8")
-            tau = np.where(np.isfinite(tau), tau, -1e18)
-            probes = np.zeros((len(some), len(here)), dtype=bool)
-            for i, ls in enumerate(some["probes"]):
-                probes[i, [number[one] for one in ls.tolist() if one in number]] = True
-            near = scan_cell(turned, x_list, (q @ rotation).astype("f4"), probes, tau, block, epsilon)
-            slack = 1e-5 * np.abs(near[np.isfinite(near)]).max(initial=1.0)  # rotated components are single precision
-            near[near < tau[:, None] - slack] = -np.inf
-            near[some["_query"].to_numpy()[:, None] == own[None, :]] = -np.inf
-            least = np.full(len(q), -np.inf)
-            if near.shape[1] > k:
-                least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
-            r, c = np.nonzero((near >= least[:, None] - 2 * slack) & np.isfinite(near))
-            score = (q[r] * x[c]).sum(axis=1)
-            order = np.lexsort((own[c], ids[c], -score, r))
-            r, c, score = r[order], c[order], score[order]
-            good = np.arange(len(r)) - np.searchsorted(r, r) < k
-            r, c, score = r[good], c[good], score[good]
-            found.append(pd.DataFrame({"query_id": some["query_id"].to_numpy()[r], "_query": some["_query"].to_numpy()[r], "vec_id": ids[c], "_row": own[c], "score": score}))
-        return pd.concat(found, ignore_index=True)
+    def scan(cell: tuple, some: pa.RecordBatch) -> pa.RecordBatch:
+        """The k best rows of a cell for each of some queries."""
+        x, turned, ids, own, x_list, number = cell
+        q = np.frombuffer(b"".join(some.column("q").to_pylist()), dtype="f8").reshape(-1, dims)
+        asks = some.column("_query").to_numpy()
+        tau = some.column("tau").to_numpy(zero_copy_only=False).astype("f8")
+        tau = np.where(np.isfinite(tau), tau, -1e18)
+        probes = np.zeros((len(q), len(number)), dtype=bool)
+        for i, ls in enumerate(some.column("probes").to_pylist()):
+            probes[i, [number[one] for one in ls if one in number]] = True
+        near = scan_cell(turned, x_list, (q @ rotation).astype("f4"), probes, tau, block, epsilon)
+        slack = 1e-5 * np.abs(near[np.isfinite(near)]).max(initial=1.0)  # rotated components are single precision
+        near[near < tau[:, None] - slack] = -np.inf
+        near[asks[:, None] == own[None, :]] = -np.inf
+        least = np.full(len(q), -np.inf)
+        if near.shape[1] > k:
+            least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+        r, c = np.nonzero((near >= least[:, None] - 2 * slack) & np.isfinite(near))
+        score = (q[r] * x[c]).sum(axis=1)
+        order = np.lexsort((own[c], ids[c], -score, r))
+        r, c, score = r[order], c[order], score[order]
+        good = np.arange(len(r)) - np.searchsorted(r, r) < k
+        r, c, score = r[good], c[good], score[good]
+        return pa.record_batch([pa.array(a) for a in (some.column("query_id").to_numpy()[r], asks[r], ids[c], own[c], score)], names=[c.split()[0] for c in FOUND.split(", ")])
+
+    def gathered(rows: list[pa.RecordBatch]) -> tuple:
+        """A cell's rows: vectors, rotated vectors, vec_id, _row, place of their list, and the place of each list."""
+        t = pa.Table.from_batches(rows)
+        x, turned = (np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=d).reshape(-1, dims) for c, d in (("vec", "f8"), ("turned", "f4")))
+        here, x_list = np.unique(t.column("list").to_numpy(), return_inverse=True)
+        return x, turned, t.column("vec_id").to_numpy(), t.column("_row").to_numpy(), x_list, {one: i for i, one in enumerate(here.tolist())}
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by cell, those of the index before the queries."""
+        now, held, cell = None, [], None
+        for b in batches:
+            cells, asks = b.column("cell").to_numpy(), b.column("asks").to_numpy()
+            cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]) | (asks[1:] != asks[:-1])) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if cells[lo] != now:
+                    now, held, cell = cells[lo], [], None
+                if not asks[lo]:
+                    held.append(b.slice(lo, hi - lo))
+                elif held:
+                    cell = cell or gathered(held)
+                    for at in range(lo, hi, STEP_QUERIES):
+                        yield scan(cell, b.slice(at, min(STEP_QUERIES, hi - at)))
 
     best = Window.partitionBy("_query").orderBy(F.desc("score"), "vec_id", "_row")
-    part = F.pmod(F.xxhash64("_query"), F.lit(groups)).cast("int").alias("part")
+    none = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    side = index.select("cell", F.lit(0).alias("asks"), "list", "vec_id", "_row", "vec", "turned", *none("long", "query_id", "_query"), *none("binary", "q"), *none("array<int>", "probes"), *none("double", "tau"))
 
     def probed(asking: DataFrame, near: int, far: int, top: DataFrame | None) -> DataFrame:
         """The k best of each query within the lists from near to far, and in `top`."""
-        routed = asking.mapInArrow(route(near, far), "cell long, query_id long, _query long, q binary, probes array<int>").select("*", part)
-        bound = F.lit(None).cast("double").alias("tau")
+        routed = asking.mapInArrow(route(near, far), "cell long, query_id long, _query long, q binary, probes array<int>")
         if top is None:
-            routed = routed.select("*", bound)
+            routed = routed.select("*", *none("double", "tau"))
         else:
-            routed = routed.join(top.where(F.col("rank") == k).select("_query", F.col("score").alias("tau")), "_query", "left").select("cell", "query_id", "_query", "q", "probes", "part", "tau")
-        copies = index.select("*", (F.explode(F.sequence(F.lit(0), F.lit(groups - 1))) if groups > 1 else F.lit(0)).alias("part"))
-        got = copies.groupBy("cell", "part").cogroup(routed.groupBy("cell", "part")).applyInPandas(meet, FOUND)
+            routed = routed.join(top.where(F.col("rank") == k).select("_query", F.col("score").alias("tau")), "_query", "left")
+        routed = routed.select("cell", F.lit(1).alias("asks"), *none("int", "list"), *none("long", "vec_id", "_row"), *none("binary", "vec", "turned"), "query_id", "_query", "q", "probes", "tau")
+        got = side.unionByName(routed).repartition("cell").sortWithinPartitions("cell", "asks").mapInArrow(meet, FOUND)
         got = got if top is None else got.unionByName(top.drop("rank"))
         return materialize(got.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
 
