@@ -267,3 +267,15 @@ def test_rare_languages_are_learned(spark):
     rows = [(i, f"common words number {i}", "en") for i in range(3000)] + [(5000 + i, f"zeldzame taal nummer {i}", "nl") for i in range(30)]
     got = langid.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 3, 1, rows=100)
     assert {lang for _, lang in got} == {"en", "nl"} and sum(lang == "en" for _, lang in got) == 50
+
+
+def test_languages_of_long_texts_only_are_learned(spark):
+    """A language whose texts are all over the bound is learned from their middles."""
+    words = {"de": "der die und nicht schön straße wir".split(), "fr": "le la et pas être où nous".split(), "xx": "qwx zzk vvq kkx jjq".split()}
+    rng = np.random.default_rng(2)
+    text = lambda lang, n: " ".join(rng.choice(words[lang], n))
+    rows = [(i, text(lang, 60), lang) for i, lang in enumerate(["de", "fr"] * 60)] + [(1000 + i, text("xx", 3000), "xx") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for bounds in ({}, {"longest": 500}, {"chars": 100, "longest": 500}):
+        got = {r.doc_id: r.lang_pred for r in langid.identify(docs, **bounds).collect()}
+        assert sum(got[i] == lang for i, _, lang in rows) >= (0.95 if bounds.get("chars") is None else 0.6) * len(rows) and all(got[1000 + i] == "xx" for i in range(12))
