@@ -24,6 +24,8 @@ FOLD = bytes(10 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 els
 #: Bits of a word's number in a task, as an edge is three of them in a long; edges that a task keeps before it passes them
 #: on; words that are counted in one step.
 WORD_BITS, MOST_EDGES, CHUNK = 21, 4_000_000, 200_000
+#: Rows that a task hands on at a time, and documents that it gets at a time.
+STEP, DOCUMENTS = 20_000, 500
 #: Words of a task's table beyond which it passes its graphs on; a text in parts adds CHUNK + 2 to them at a time.
 MOST_WORDS = (1 << WORD_BITS) - 3 * CHUNK
 #: Parts of a language whose best phrases are found apart; edges in a row of a path at most.
@@ -71,12 +73,19 @@ def _runs(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[starts], np.add.reduceat(counts, starts)
 
 
-def flows(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Counts of edges, nodes and words (keys without the bits of what follows): a node has what leaves it and what ends there."""
-    node_keys, node_counts = _runs(keys >> WORD_BITS, counts)
-    word_keys, word_counts = _runs(node_keys >> WORD_BITS, node_counts)
-    edge, node = keys & ((1 << WORD_BITS) - 1) != 0, node_keys & ((1 << WORD_BITS) - 1) != 0
-    return [(keys[edge], counts[edge]), (node_keys[node], node_counts[node]), (word_keys, word_counts)]
+def flows(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of words, keys and counts of edges, nodes and words, without the bits of what follows, in parts of STEP.
+
+    A node has what leaves it and what ends there, and a word what its nodes have and what ends with it.
+    """
+    for order in (3, 2, 1):
+        if order < 3:
+            keys = keys >> WORD_BITS
+            keys, counts = _runs(keys, counts)
+        for at in range(0, len(keys), STEP):
+            k, n = keys[at : at + STEP], counts[at : at + STEP]
+            real = k & ((1 << WORD_BITS) - 1) != 0
+            yield order, k[real], n[real]
 
 
 def graph_rows(docs: DataFrame) -> DataFrame:
@@ -94,15 +103,14 @@ def graph_rows(docs: DataFrame) -> DataFrame:
         def rows() -> Iterator[pa.RecordBatch]:
             for lang in list(ids):
                 note(lang)
-            words = pa.array([w.decode() for w in number], pa.string())
-            for lang, graph in graphs.items():
+            words = pa.array(list(number), pa.binary()).cast(pa.string())
+            for lang in list(graphs):
+                graph = graphs.pop(lang)
                 graph.settle()
-                for order, (keys, counts) in zip((3, 2, 1), flows(graph.keys, graph.counts)):
-                    for at in range(0, len(keys), 50_000):
-                        k = keys[at : at + 50_000]
-                        parts = [words.take(pa.array((k >> s * WORD_BITS & (1 << WORD_BITS) - 1) - 1)) for s in range(order - 1, -1, -1)]
-                        phrase = pc.binary_join_element_wise(*parts, " ") if order > 1 else parts[0]
-                        yield pa.record_batch([pc.binary_join_element_wise(phrase, lang, "\n"), pa.array(counts[at : at + 50_000].astype("i8"))], names=["key", "n"])
+                for order, k, counts in flows(graph.keys, graph.counts):
+                    parts = [words.take(pa.array((k >> s * WORD_BITS & (1 << WORD_BITS) - 1) - 1)) for s in range(order - 1, -1, -1)]
+                    phrase = pc.binary_join_element_wise(*parts, " ") if order > 1 else parts[0]
+                    yield pa.record_batch([pc.binary_join_element_wise(phrase, lang, "\n"), pa.array(counts.astype("i8"))], names=["key", "n"])
                 yield pa.record_batch([pa.array(["\n" + lang]), pa.array([int(graph.counts.sum(dtype="i8"))], pa.int64())], names=["key", "n"])
             graphs.clear()
             number.clear()
@@ -142,7 +150,8 @@ def graph_rows(docs: DataFrame) -> DataFrame:
 
 def frequent(docs: DataFrame, least: int) -> DataFrame:
     """lang, phrase, words (how many), f: phrases of 1 to 3 words that occur at least so often; without words (0) all of a language."""
-    total = graph_rows(docs).groupBy("key").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | F.startswith("key", F.lit("\n")))
+    # a task's rows are sums already, so they are dealt out as they are and summed where they meet
+    total = graph_rows(docs).repartition("key").groupBy("key").agg(F.sum("n").alias("f")).where((F.col("f") >= least) | F.startswith("key", F.lit("\n")))
     cut = F.instr("key", "\n")
     phrase = F.substring("key", F.lit(1), cut - 1)
     return total.select(F.substring("key", cut + 1, F.length("key")).alias("lang"), phrase.alias("phrase"), F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("words"), "f")
@@ -214,7 +223,13 @@ def collocations(docs: DataFrame, least: int = 10, kept: int = 2000, inside: int
     decimals, for counts up to 10^15. Null text is empty, null lang is `und`; repeated rows and null ids count like others.
     An empty table, or one without frequent phrases, gives no rows; other columns are ignored.
     """
-    counts = materialize(frequent(docs, least), "counts")
+    spark, setting = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, DOCUMENTS)  # long texts: thousands at a time would take as much memory as a task's graph
+    try:
+        counts = materialize(frequent(docs, least), "counts")
+    finally:
+        spark.conf.set(setting, before)
     paths = materialize(unary_paths(counts.where("words = 3")), "unary")
     edges = edges_of(paths)
     node = lambda k: F.substring_index("phrase", " ", k)
