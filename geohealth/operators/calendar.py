@@ -51,6 +51,14 @@ def filter_years(df: DataFrame, years: list[int], period: str, day: str = "day")
     return df.where(keep)
 
 
+def period_stats(df: DataFrame, period: str, keys: Sequence[str], day: str = "day", value: str = "value") -> DataFrame:
+    """keys, period_start, year and number of each period, with the max, min and mean of value; missing values are skipped."""
+    d = F.col(day)
+    year = cal.epi_year(d) if period == "epiweek" else F.year(d)
+    by = df.groupBy(*keys, cal.period_start(d, period).alias("period_start"), year.alias("year"), cal.period_number(d, period).alias("number"))
+    return by.agg(F.max(value).alias("max"), F.min(value).alias("min"), F.avg(value).alias("mean"))
+
+
 def timeline(df: DataFrame, start: str = "period_start") -> DataFrame:
     """Distinct starts in order."""
     return df.select(start).distinct().orderBy(start)

@@ -10,9 +10,8 @@ from geohealth.queries import views as v
 from geohealth.queries.registry import query
 
 
-def _stats(df, start, year, number):
-    g = df.groupBy("zone_id", start.alias("period_start"), year.alias("year"), number.alias("number"))
-    return g.agg(F.max("value").alias("max"), F.min("value").alias("min"), v.r4(F.avg("value")).alias("mean"))
+def _stats(spark, d, period):
+    return ops.period_stats(v.daily(spark, d), period, ["zone_id"]).withColumn("mean", v.r4(F.col("mean")))
 
 
 _SQL_STATS = "WITH {daily} SELECT zone_id, {start} AS period_start, {year} AS year, {number} AS number, max(value) AS max, min(value) AS min, {mean} AS mean FROM daily GROUP BY ALL"
@@ -20,14 +19,12 @@ _SQL_STATS = "WITH {daily} SELECT zone_id, {start} AS period_start, {year} AS ye
 
 @query("epiweek_stats", _SQL_STATS.format(daily=v.SQL_DAILY, start=v.sql_sunday("day"), year=v.sql_epi_year("day"), number=v.sql_epi_week("day"), mean=v.sql_r4("avg(value)")))
 def epiweek_stats(spark, d):
-    day = F.col("day")
-    return _stats(v.daily(spark, d), cal.epi_start(day), cal.epi_year(day), cal.epi_week(day))
+    return _stats(spark, d, "epiweek")
 
 
 @query("month_stats", _SQL_STATS.format(daily=v.SQL_DAILY, start="CAST(date_trunc('month', day) AS DATE)", year="CAST(year(day) AS INTEGER)", number="CAST(month(day) AS INTEGER)", mean=v.sql_r4("avg(value)")))
 def month_stats(spark, d):
-    day = F.col("day")
-    return _stats(v.daily(spark, d), cal.month_start(day), F.year(day), F.month(day))
+    return _stats(spark, d, "month")
 
 
 _SQL_CAL = f"""years AS (SELECT min(year(CAST(o_orderdate AS DATE))) AS a, max(year(CAST(o_orderdate AS DATE))) AS b FROM orders), sundays AS (SELECT a, b, CAST(unnest(range(CAST({v.sql_sunday("make_date(a - 1, 12, 6)")} AS TIMESTAMP), make_timestamp(b + 1, 2, 1, 0, 0, 0), INTERVAL 7 DAY)) AS DATE) AS s FROM years),
