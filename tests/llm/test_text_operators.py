@@ -226,6 +226,24 @@ def test_similar_documents_equal_all_pairs(spark, docs, edge, empty):
     assert simhash.keep_one(edge, simhash.similar_documents).count() == simhash.keep_one(edge).count() and simhash.similar_documents(empty).count() == 0
 
 
+def test_texts_beside_each_other_are_paired_about_once(spark):
+    rng = random.Random(11)
+    schema = "key long, th long, label long, main long, n int, " + ", ".join(f"{b} long" for b in simhash.BITS)
+    row = lambda key, th, label: (key, th, label, 0, 100, 0, 0, 0, 0)
+    # thirty shared keys, and at each place between them one of each text's own (which another text has as well)
+    two = [row(10 * k + (0 if th is None else th), t, t - 1) for k in range(30) for t in (1, 2) for th in (None, t)]
+    assert simhash.beside(spark.createDataFrame(two, schema)).collect() == [(1, 2)]
+    held = {t: set(rng.sample(range(300), rng.choice([5, 40, 120]))) for t in range(60)}
+    rows = [row(k, t, t % 7) for t, keys in held.items() for k in keys]
+    want = {(s, t) for s in held for t in held if s < t and s % 7 != t % 7 and held[s] & held[t]}
+    shared = sum(len(held[s] & held[t]) for s, t in want)
+    df = spark.createDataFrame(rows, schema)
+    for before in (1, 3, simhash.BEFORE):  # no pair is lost, whatever is looked back at
+        got = simhash.beside(df, before).collect()
+        assert {(r.a, r.b) for r in got} == want
+    assert len(got) <= 3 * len(want) and shared >= 6 * len(want)
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(7)
     for n in (0, 1, 30, 400, 5000):
