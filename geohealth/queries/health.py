@@ -18,12 +18,17 @@ _TIME = "CASE WHEN o_orderkey % 3 = 0 THEN 'week' WHEN o_orderkey % 3 = 1 THEN '
 
 
 def _tagged(spark, d):
-    """Cases as an indicator table: every 11th code is missing, every 13th no number. i0 has values below 1 and none in July."""
+    """The indicator table without Julys of i0."""
+    return _all_tagged(spark, d).where("indicator <> 'i0' OR month(day) <> 7")
+
+
+def _all_tagged(spark, d):
+    """Cases as an indicator table: every 11th code is missing, every 13th no number. i0 has values below 1."""
     k = F.col("o_orderkey")
     cod = F.when(k % 11 == 0, None).when(k % 13 == 0, F.lit("x")).otherwise(F.col("code").cast("string"))
     kind = F.when(k % 3 == 0, "week").when(k % 3 == 1, "month").otherwise("epiweek")
     small = k % 5 == 0
-    return v.cases(spark, d).where(~small | (F.month("day") != 7)).select(
+    return v.cases(spark, d).select(
         "o_orderkey", cod.alias("cod"), F.date_format("day", "yyyy-MM-dd").alias("date"), F.when(small, "i0").otherwise("i1").alias("indicator"), F.when(k % 2 == 0, "municipality").otherwise("state").alias("agg"),
         kind.alias("agg_time"), F.when(small, F.col("value") / 1e6 + 3.3e-9).otherwise(F.col("value")).alias("value"), "day")
 
@@ -35,7 +40,8 @@ def _registry(spark, d):
 
 
 _SQL_REG = "reg AS (SELECT 'p' || (r_regionkey % 2) AS provider, 'i' || (r_regionkey // 2) AS id, 'Title of ' || lower(r_name) AS title FROM region)"
-_SQL_TAG = f"{v.SQL_CASES}, tagged AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'x' ELSE CAST(code AS VARCHAR) END AS cod, day, CASE WHEN o_orderkey % 5 = 0 THEN 'i0' ELSE 'i1' END AS indicator, {_AGG} AS agg, {_TIME} AS kind, CASE WHEN o_orderkey % 5 = 0 THEN value / 1e6 + 3.3e-9 ELSE value END AS value FROM cases WHERE o_orderkey % 5 <> 0 OR month(day) <> 7)"
+_SQL_ALL_TAG = f"{v.SQL_CASES}, tagged AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'x' ELSE CAST(code AS VARCHAR) END AS cod, day, CASE WHEN o_orderkey % 5 = 0 THEN 'i0' ELSE 'i1' END AS indicator, {_AGG} AS agg, {_TIME} AS kind, CASE WHEN o_orderkey % 5 = 0 THEN value / 1e6 + 3.3e-9 ELSE value END AS value FROM cases)"
+_SQL_TAG = f"{_SQL_ALL_TAG[:-1]} WHERE o_orderkey % 5 <> 0 OR month(day) <> 7)"
 
 
 @query("combination_split", f"WITH {_SQL_TAG} SELECT o_orderkey, agg, CASE WHEN kind = 'week' THEN 'epiweek' ELSE kind END AS agg_time FROM tagged WHERE cod IS NOT NULL AND agg = 'municipality' AND kind IN ('week', 'epiweek', 'month')")
@@ -55,9 +61,9 @@ def zone_enrichment(spark, d):
     return ops.enrich_zones(v.cases(spark, d), v.zones(spark, d).where("zone_id % 4 <> 3")).select("o_orderkey", "code", "name", "uf")
 
 
-@query("indicator_registry", f"WITH {_SQL_TAG}, {_SQL_REG} SELECT t.o_orderkey, t.indicator, r.title, r.provider FROM tagged t JOIN reg r ON r.id = t.indicator WHERE r.provider = 'p0'")
+@query("indicator_registry", f"WITH {_SQL_ALL_TAG}, {_SQL_REG} SELECT t.o_orderkey, t.indicator, r.title, r.provider FROM tagged t JOIN reg r ON r.id = t.indicator WHERE r.provider = 'p0'")
 def indicator_registry(spark, d):
-    return ops.attach_indicator(_tagged(spark, d), _registry(spark, d), "p0").select("o_orderkey", "indicator", "title", "provider")
+    return ops.attach_indicator(_all_tagged(spark, d), _registry(spark, d), "p0").select("o_orderkey", "indicator", "title", "provider")
 
 
 def _west(rings: str):

@@ -40,3 +40,10 @@ def test_query_equals_sql(spark, duck, tmp_path, name):
 
 def test_all_queries_have_sql():
     assert set(registry.QUERIES) == set(registry.ORACLES)
+
+
+def test_indicator_registry_holds_all_cases(spark):
+    """i0 has its Julys here; both indicators are in the registry of p0."""
+    found = registry.QUERIES["indicator_registry"](spark, SF)
+    assert found.where("indicator = 'i0'").join(spark.read.parquet(f"{SF}/orders.parquet").where("month(o_orderdate) = 7"), "o_orderkey").count() > 0
+    assert found.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
