@@ -18,25 +18,37 @@ def band_stats(pixels: DataFrame) -> DataFrame:
         F.min("dn").alias("least"), F.max("dn").alias("most"), F.avg("dn").alias("mean"), F.stddev_pop("dn").alias("spread"))
 
 
-def equalize(pixels: DataFrame, bins: int = 256) -> DataFrame:
+#: Pixels that a task of equalize() sorts and counts, on average.
+TASK_PIXELS = 1_000_000
+
+
+def equalize(pixels: DataFrame, bins: int = 256, task_pixels: int = TASK_PIXELS) -> DataFrame:
     """pixels with eq: dn through the image's cumulative histogram, scaled to 0 .. bins - 1, linear between left bin edges.
 
-    The histogram has at most `bins` rows an image; the running sum is over these, not over the pixels.
+    The histogram has at most `bins` rows an image; the running sum is over these, not over the pixels. Beyond
+    `task_pixels` for each core the pixels are counted out to as many tasks as that takes, so that a task's memory
+    doesn't grow with their number.
     """
-    known = pixels.withColumn("dn", physics.clean_nodata(F.col("dn"))).where(F.col("dn").isNotNull())
-    span = known.groupBy("image", "band").agg(F.min("dn").alias("_lo"), F.max("dn").alias("_hi"))
+    # one column as key: rows are dealt out by it and joined on it, whichever parts of it are constant
+    known = pixels.withColumn("dn", physics.clean_nodata(F.col("dn"))).where(F.col("dn").isNotNull()).withColumn("_of", F.struct("image", "band"))
+    tasks = -(-known.count() // task_pixels)
+    spread = lambda df, key: df.repartition(tasks, key) if tasks > known.sparkSession.sparkContext.defaultParallelism else df
+    known = spread(known, "_of")
+    span = known.groupBy("_of").agg(F.min("dn").alias("_lo"), F.max("dn").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    at = known.join(span, ["image", "band"]).withColumn("_bin", F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("dn") - F.col("_lo")) / width))).otherwise(F.lit(0)).cast("int"))
-    counts = at.groupBy("image", "band", "_bin").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy("image", "band").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("image", "band")
+    at = known.join(span, "_of").withColumn("_bin", F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("dn") - F.col("_lo")) / width))).otherwise(F.lit(0)).cast("int"))
+    counts = at.groupBy("_of", "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy("_of").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("_of")
     cdf = counts.withColumn("_cum", F.sum("_n").over(run)).withColumn("_all", F.sum("_n").over(whole))
-    scaled = cdf.select("image", "band", "_bin", ((bins - 1) * F.col("_cum") / F.col("_all")).alias("_c"), ((bins - 1) * F.lead("_cum").over(whole.orderBy("_bin")) / F.col("_all")).alias("_occupied"), F.lead("_bin").over(whole.orderBy("_bin")).alias("_nextbin"))
+    cell = F.struct("_of.image", "_of.band", "_bin").alias("_cell")
+    scaled = cdf.select(cell, ((bins - 1) * F.col("_cum") / F.col("_all")).alias("_c"), ((bins - 1) * F.lead("_cum").over(whole.orderBy("_bin")) / F.col("_all")).alias("_occupied"), F.lead("_bin").over(whole.orderBy("_bin")).alias("_nextbin"))
     # an empty next bin repeats the sum so far
     following = F.when(F.col("_nextbin") == F.col("_bin") + 1, F.col("_occupied")).otherwise(F.col("_c"))
     following = F.when(F.col("_bin") == bins - 1, F.col("_c")).otherwise(following)
     part = F.when(width > 0, (F.col("dn") - F.col("_lo")) / width - F.col("_bin")).otherwise(F.lit(0.0))
-    return at.join(scaled, ["image", "band", "_bin"]).withColumn("eq", F.col("_c") + (following - F.col("_c")) * F.when(F.col("_bin") == bins - 1, F.lit(0.0)).otherwise(part)).select(*pixels.columns, "eq")
+    placed = spread(at.select("*", cell).drop("_of"), "_cell").join(spread(scaled, "_cell"), "_cell")
+    return placed.withColumn("eq", F.col("_c") + (following - F.col("_c")) * F.when(F.col("_bin") == bins - 1, F.lit(0.0)).otherwise(part)).select(*pixels.columns, "eq")
 
 
 def midpoint(images: DataFrame) -> DataFrame:

@@ -47,3 +47,15 @@ def test_indicator_registry_holds_all_cases(spark):
     found = registry.QUERIES["indicator_registry"](spark, SF)
     assert found.where("indicator = 'i0'").join(spark.read.parquet(f"{SF}/orders.parquet").where("month(o_orderdate) = 7"), "o_orderkey").count() > 0
     assert found.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
+def test_equalize_spreads_pixels_over_tasks(spark):
+    """Tasks grow in number with the pixels, not in size; the values are those of few tasks."""
+    from geohealth.operators import imagery
+    from geohealth.queries import imagery as queries
+
+    pixels = queries._pixels(spark, SF)
+    known = pixels.where("dn <> -9999").count()
+    few, many = imagery.equalize(pixels), imagery.equalize(pixels, task_pixels=known // 20)
+    assert many.rdd.getNumPartitions() >= 20
+    assert sorted(many.collect()) == sorted(few.collect()) and few.count() == known
